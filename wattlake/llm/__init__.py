@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline; queries() and oracle_sql() gather the modules' own."""
 
-from . import ngram_join
+from . import line_dedup, mixing, ngram_join, sharding
 
-_MODULES = [ngram_join]
+_MODULES = [line_dedup, ngram_join, mixing, sharding]
 
 
 def queries():
