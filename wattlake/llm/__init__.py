@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline; queries() and oracle_sql() gather the modules' own."""
 
-from . import line_dedup, mixing, ngram_join, sharding
+from . import line_dedup, mixing, ngram_join, sharding, vector_dedup, vector_topk
 
-_MODULES = [line_dedup, ngram_join, mixing, sharding]
+_MODULES = [line_dedup, ngram_join, mixing, sharding, vector_topk, vector_dedup]
 
 
 def queries():
