@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline; queries() and oracle_sql() gather the modules' own."""
 
-from . import line_dedup, mixing, ngram_join, sentencepiece_codec, sharding, toxicity, vector_dedup, vector_topk
+from . import line_dedup, lm_scoring, mixing, ngram_join, quality, sentencepiece_codec, sharding, toxicity, vector_dedup, vector_topk
 
-_MODULES = [line_dedup, ngram_join, mixing, sharding, vector_topk, vector_dedup, toxicity, sentencepiece_codec]
+_MODULES = [line_dedup, ngram_join, mixing, sharding, vector_topk, vector_dedup, toxicity, sentencepiece_codec, lm_scoring, quality]
 
 
 def queries():

@@ -12,6 +12,8 @@ from ..plans.shipping import ship
 
 #: Buckets of a two-level running sum; the table of bucket totals has at most this many rows a group.
 BUCKETS = 1024
+#: Whether an execution's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str | None] = {}
 
 
@@ -31,10 +33,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: lineage ends there, and a lost executor loses nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    old = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # the table stands for them from here on
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, old)
+    return spark.read.schema(schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:

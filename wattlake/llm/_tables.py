@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 BLOCKS = 64
 
 
-def summed_table(df: DataFrame, size: int, update: Callable[[np.ndarray, pa.RecordBatch], None]) -> np.ndarray:
+def summed_table(df: DataFrame, size: int, update: Callable[[np.ndarray, pa.RecordBatch], None], dtype=np.int64) -> np.ndarray:
     """The sum over all rows of what update(total, batch) adds to a table of `size` counters (a
     multiple of 64). Each task sends its table once, in blocks that meet by key; the driver gets
-    8 * size bytes whatever the number of rows."""
+    them as dtype, whatever the number of rows; beyond its range counters saturate."""
 
     def count(batches):
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, dtype)
         for batch in batches:
             update(total, batch)
         parts = [zlib.compress(x.tobytes(), 1) for x in np.split(total, BLOCKS)]
@@ -28,13 +28,13 @@ def summed_table(df: DataFrame, size: int, update: Callable[[np.ndarray, pa.Reco
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(size // BLOCKS, np.int64)
         for raw in frame["counts"]:
-            total += np.frombuffer(zlib.decompress(raw), np.int64)
+            total += np.frombuffer(zlib.decompress(raw), dtype)
         return pd.DataFrame({"block": frame["block"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     # as many tasks as keep all cores busy: each sends a table of its own
     tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
     blocks = df.coalesce(tasks).mapInArrow(count, "block int, counts binary")
-    out = np.zeros((BLOCKS, size // BLOCKS), np.int64)
+    out = np.zeros((BLOCKS, size // BLOCKS), dtype)
     for r in blocks.groupBy("block").applyInPandas(add, "block int, counts binary").collect():
-        out[r.block] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
+        out[r.block] = np.minimum(np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64), np.iinfo(dtype).max)
     return out.reshape(-1)

@@ -17,25 +17,22 @@ rows repeated give equal result rows. Other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import components, read, written
+from ._filters import thinned
+from ._tables import summed_table
 from ._text import mix, pieces, words
 
 N_WORDS = 5
 PERCENT = 80
 #: Slots of the table of hashed counts; one byte each is broadcast (4 MB whatever the corpus).
 COUNT_BITS = 22
-COUNT_BLOCKS = 64
-#: Bits of the filter that thins documents before candidates' texts are shuffled (1 MB).
-FILTER_BITS = 23
-BITMAP_WORDS = 4
+#: 64-bit words of a set's bitmap.
+BITMAP_WORDS = 16
 #: Rows of one side of a tile.
 TILE = 2048
 
@@ -73,34 +70,12 @@ def document_sets(column, n: int):
 def hashed_counts(docs: DataFrame, n: int) -> np.ndarray:
     """log2 of how often each slot's shingles occur in all documents: 2**COUNT_BITS bytes."""
 
-    def count(batches):
-        total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in batches:
-            for p in pieces(batch, "text"):
-                s, _ = shingles(*words(p.column("text")), n)
-                total += np.bincount((s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
-        parts = [zlib.compress(x.astype(np.uint32).tobytes(), 1) for x in np.split(total, COUNT_BLOCKS)]
-        yield pa.RecordBatch.from_pydict({"block": pa.array(range(COUNT_BLOCKS), pa.int32()), "counts": pa.array(parts, pa.binary())})
-
-    def add(key, batches):
-        total = np.zeros((1 << COUNT_BITS) // COUNT_BLOCKS, np.int64)
-        for x in batches:
-            for raw in x["counts"]:
-                total += np.frombuffer(zlib.decompress(raw), np.uint32)
-        level = np.log2(np.maximum(total, 1)).astype(np.uint8)
-        yield pd.DataFrame({"block": [key[0]], "level": [level.tobytes()]})
-
-    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
-    blocks = docs.select("text").coalesce(tasks).mapInArrow(count, "block int, counts binary")
-    got = {r.block: r.level for r in blocks.groupBy("block").applyInPandas(_summed(add), "block int, level binary").collect()}
-    return np.concatenate([np.frombuffer(bytes(got[b]), np.uint8) if b in got else np.zeros((1 << COUNT_BITS) // COUNT_BLOCKS, np.uint8) for b in range(COUNT_BLOCKS)])
-
+    def update(total, batch):
+        for p in pieces(batch, "text"):
+            s, _ = shingles(*words(p.column("text")), n)
+            total += np.bincount((s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32)
 
-def _summed(add):
-    def f(key, frame):
-        return next(add(key, [frame]))
-
-    return f
+    return np.log2(np.maximum(summed_table(docs.select("text"), 1 << COUNT_BITS, update), 1)).astype(np.uint8)
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -141,24 +116,6 @@ def may_link(a: str, b: str, percent: int):
     return (F.lit(100) * F.least(na, nb) >= F.lit(percent) * F.greatest(na, nb)) & (F.lit(100) * (na + nb - apart) >= F.lit(percent) * (na + nb + apart))
 
 
-def thinned(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id may be among `ids`, by a filter of fixed size that is broadcast."""
-    spark = docs.sparkSession
-    slot = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << FILTER_BITS))
-    words_ = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("v")).toPandas()
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    table[words_["w"].to_numpy(np.int64)] = words_["v"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(table)
-
-    def keep(batches):
-        for batch in batches:
-            s = batch.column("slot").to_numpy()
-            hit = (shared.value[s >> 6] >> (s & 63)) & 1
-            yield batch.filter(pa.array(hit.astype(bool))).select(["doc_id", "text"])
-
-    return docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(keep, "doc_id long, text string")
-
-
 def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The (a, b) of pairs whose sets overlap enough: exact intersection of sorted arrays."""
 
@@ -186,12 +143,13 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
     return both.select("a", "b", "sa", "sb").mapInArrow(same, "a long, b long")
 
 
-def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components within each key that sizes and bitmaps allow.
-    rows: key, rep, comp, n, b0.. . Keys of more than TILE rows are cut into square tiles."""
+    rows: key, rep, comp; facts: rep, n, b0.. . Keys of more than TILE rows are cut into square tiles."""
     bits = [f"b{j}" for j in range(BITMAP_WORDS)]
-    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "key").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    groups = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    rows = rows.join(groups.where("lo <> hi").select("key", "blocks"), "key").join(facts, "rep")
+    rows = rows.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tile = rows.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("tile"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), (F.col("i") == F.col("j")).alias("same"), "rep", "comp", "n", *bits)
     parts = tile.repartition("tile").sortWithinPartitions("tile", "n")
@@ -254,12 +212,10 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     edges = written(verified(docs, written(allowed), n, percent))
     comp = written(components(edges))
 
-    in_comp = member.join(comp, member["rep"] == comp["node"], "left").select("doc_id", "rep", F.coalesce("component", "rep").alias("comp"))
-    placed = hits.select("key", "doc_id").join(in_comp, "doc_id")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rows = placed.join(mixed, "key", "left_semi").select("key", "rep", "comp").distinct()
-    rows = rows.join(facts.withColumnRenamed("doc_id", "rep"), "rep")
-    second = written(tile_pairs(rows, percent))
+    # equal sets have equal keys: the rows of those that stand for them are enough
+    in_comp = member.where("doc_id = rep").join(comp, member["rep"] == comp["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("comp"))
+    placed = written(hits.select("key", "doc_id").join(in_comp, "doc_id").select("key", F.col("doc_id").alias("rep"), "comp"))
+    second = written(tile_pairs(placed, facts.withColumnRenamed("doc_id", "rep"), percent))
     more = verified(docs, second, n, percent)
     final = components(edges.union(more))
 
