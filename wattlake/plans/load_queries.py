@@ -96,7 +96,8 @@ def appliance_manifest(spark, d):
 
 def pv_facts(spark, d):
     m, w = A.meter(spark, d), A.weather(spark)
-    return pv.detect_pv(m, w).select("customer_id", "has_pv", "prob_pv").join(pv.pv_capacity_point(m, w).select("customer_id", F.when(F.col("hybrid_kwp") >= 0.1, F.col("hybrid_kwp")).alias("pv_capacity_kwp")), "customer_id", "left")
+    facts = pv.detect_pv(m, w).select("customer_id", "has_pv", "prob_pv").join(pv.pv_capacity_point(m, w).select("customer_id", F.when(F.col("hybrid_kwp") >= 0.1, F.col("hybrid_kwp")).alias("pv_capacity_kwp")), "customer_id", "left")
+    return facts.persist()  # one row a customer
 
 
 def battery_detect(spark, d):
