@@ -36,13 +36,13 @@ ORDERS = (3, 5)
 WORD_REACH = 12
 MODELS = len(ORDERS) + 1
 #: Slots of each predictor; one byte each is broadcast.
-SLOT_BITS = 22
+SLOT_BITS = 21
 SEGMENT, BLOCK = 2048, 64
 DEPTHS, PLACES = 8, 8
 BUCKETS = 33
 RATE, TRAIN_RATE = 0.004, 0.05
 SYMBOLS, END = 257, 256
-PIECE = 384 << 10
+PIECE = 256 << 10
 
 
 def fold(doc_id: Column) -> Column:
@@ -137,7 +137,7 @@ def bit_counts(docs: DataFrame, tree) -> np.ndarray:
     size = 2 << SLOT_BITS
 
     def update(total, batch):
-        for p in pieces(batch, "text", 1 << 20):
+        for p in pieces(batch, "text", 3 * PIECE):
             seq, place, at = sequences(p.column("text"))
             n, code = decisions(tree, seq)
             node, bit = tree[2][code], tree[3][code]

@@ -116,15 +116,41 @@ def may_link(a: str, b: str, percent: int):
     return (F.lit(100) * F.least(na, nb) >= F.lit(percent) * F.greatest(na, nb)) & (F.lit(100) * (na + nb - apart) >= F.lit(percent) * (na + nb + apart))
 
 
+def wide_bitmap(s: np.ndarray) -> bytes:
+    """A bitmap of at least eight bits a member; halves or-ed together give the narrower ones."""
+    width = 1 << max(9, int(8 * max(len(s), 1) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(s % np.uint64(width)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def bits_allow(na: int, nb: int, x: bytes, y: bytes, percent: int) -> bool:
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(u) > len(v):
+        u = u[: len(u) // 2] | u[len(u) // 2 :]
+    while len(v) > len(u):
+        v = v[: len(v) // 2] | v[len(v) // 2 :]
+    apart = int(np.bitwise_count(u ^ v).sum(dtype=np.int64))
+    return 100 * (na + nb - apart) >= percent * (na + nb + apart)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The (a, b) of pairs whose sets overlap enough: exact intersection of sorted arrays."""
+    """The (a, b) of pairs whose sets overlap enough: bitmaps as wide as the sets leave few pairs for
+    the exact intersection of sorted arrays."""
 
     def sets(batches):
         for batch in batches:
             for p in pieces(batch, "text"):
-                found = [s.view(np.int64) for _, s in document_sets(p.column("text"), n)]
+                found = [s for _, s in document_sets(p.column("text"), n)]
                 lengths = np.concatenate([[0], np.cumsum([len(x) for x in found])])
-                yield pa.RecordBatch.from_arrays([p.column("doc_id"), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int64()))], ["doc_id", "s"])
+                arrays = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64()))
+                yield pa.RecordBatch.from_arrays([p.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), pa.array([wide_bitmap(x) for x in found], pa.binary()), arrays], ["doc_id", "n", "w", "s"])
+
+    def near(batches):
+        for batch in batches:
+            c = batch.to_pydict()
+            ok = [bits_allow(*x, percent) for x in zip(c["na"], c["nb"], c["wa"], c["wb"])]
+            yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     def same(batches):
         for batch in batches:
@@ -138,8 +164,10 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
 
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     texts = thinned(docs, ids).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    arrays = texts.mapInArrow(sets, "doc_id long, s array<long>")
-    both = pairs.join(arrays.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b").join(arrays.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
+    arrays = written(texts.mapInArrow(sets, "doc_id long, n long, w binary, s array<long>"))
+    side = lambda k, *cols: arrays.select(F.col("doc_id").alias(k), *[F.col(c).alias(c + k) for c in cols])
+    close = written(pairs.join(side("a", "n", "w"), "a").join(side("b", "n", "w"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(near, "a long, b long"))
+    both = close.join(side("a", "s"), "a").join(side("b", "s"), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(same, "a long, b long")
 
 
