@@ -185,7 +185,7 @@ def test_toxicity_restores_and_scores(spark, edge, empty, labels):
     docs = []
     for i in range(400):
         bad = i % 4 == 0
-        docs.append((i, f"some plain words about item number {i % 50} with nothing wrong" + (" you stupid moron" if bad else " and kind regards"), int(bad)))
+        docs.append((i, f"some plain words about item number {i % 50} with nothing wrong" + (" and a " + ("stupid" if i % 8 else "moron") if bad else " and a friend"), int(bad)))
     frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
     test = spark.createDataFrame([(10_000, "you s.t.u.p.i.d thing"), (10_001, "a m0r0n wrote this"), (10_002, "kind regards to all"), (10_003, None)], "doc_id long, text string")
     scores = {r.doc_id: r["__score"] for r in toxicity.scored(frame.select("doc_id", "text").union(test), frame.select("doc_id", "toxic")).collect()}

@@ -74,7 +74,7 @@ def weighed(docs: DataFrame, ratio) -> DataFrame:
             for p in pieces(batch, "text", 2 << 20):
                 b, row = ngrams(p.column("text"))
                 n = np.bincount(row, minlength=p.num_rows)
-                w = np.bincount(row, ratio.value[b], p.num_rows)
+                w = np.bincount(row, ratio.value[b], p.num_rows).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([*(p.column(f.name) for f in rest), pa.array(n.astype(np.int64)), pa.array(w)], [*(f.name for f in rest), "n_grams", "log_weight"])
 
     return docs.mapInArrow(weigh, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["n_grams long", "log_weight double"]))
