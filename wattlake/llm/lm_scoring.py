@@ -42,7 +42,7 @@ DEPTHS, PLACES = 8, 8
 BUCKETS = 33
 RATE, TRAIN_RATE = 0.004, 0.05
 SYMBOLS, END = 257, 256
-PIECE = 256 << 10
+PIECE = 192 << 10
 
 
 def fold(doc_id: Column) -> Column:
