@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import BUCKETS, read
+from ._common import BUCKETS, read, written
 
 #: The weights of sources in turn, and how their shares move over the training time.
 WEIGHTS = [3, 1, 2]
@@ -67,10 +67,9 @@ def placed(docs: DataFrame) -> DataFrame:
     return out.withColumn("copies", F.when(F.col("size") > 0, rounds + some).otherwise(0).cast("int")).drop("__md5", "__b", "__s", "__k", "__off")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The mix: a row for each copy of each document of docs, with `position` (0 to 1), in its order."""
-    had = docs.columns
-    rows = placed(docs).where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+def dealt(rows: DataFrame, had: list[str]) -> DataFrame:
+    """The copies of what placed() returns, with the columns `had` and `position` (0 to 1), in the order of the mix."""
+    rows = rows.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     u = F.least(F.lit(1.0), (F.col("start") + F.col("__copy") * F.col("source_size")) / F.col("target"))
     r = F.col("ramp")
     t = F.when(r == 0, u).otherwise((r - 1 + F.sqrt((1 - r) * (1 - r) + 4 * r * u)) / (2 * r))
@@ -78,12 +77,28 @@ def mixed(docs: DataFrame) -> DataFrame:
     return rows.repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix: a row for each copy of each document of docs, with `position` (0 to 1), in its order."""
+    return dealt(placed(docs), docs.columns)
+
+
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = placed(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    """Each document and the words that the mix takes of it, counted in the mix."""
+    rows = written(placed(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"))
+    facts = ["doc_id", "size", "source_size", "target"]
+    mix = written(dealt(rows, ["source", "start", *facts]))
+    # only documents with words are taken, so that no two of a source start at the same word
+    taken = mix.groupBy("source", "start", *facts).agg(F.sum("size").alias("taken")).select(*facts, "taken")
+    return taken.union(rows.where("copies = 0").select(*facts, F.lit(0).cast("long")))
+
 
+def op9_curriculum_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix: a row for each copy of a document with its place in the training time."""
+    rows = mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return rows.select("doc_id", "source", F.round("position", 9).alias("position"))
 
-QUERIES = {"op9_curriculum_mix": op9_curriculum_mix}
+
+QUERIES = {"op9_curriculum_mix": op9_curriculum_mix, "op9_curriculum_order": op9_curriculum_order}
 
 SQL = {
     "op9_curriculum_mix": r"""
@@ -102,5 +117,22 @@ p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
 SELECT doc_id, size, source_size, target,
   CAST(CASE WHEN size = 0 THEN 0 ELSE size * (floor(target / source_size) + CASE WHEN start + size / 2 < target - floor(target / source_size) * source_size THEN 1 ELSE 0 END) END AS BIGINT) AS taken
 FROM p
+""",
+    "op9_curriculum_order": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight FROM s),
+c AS (SELECT *, list_extract([-0.5, 0.5, 0.25], 1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT))::DOUBLE AS ramp, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / weight AS full_at FROM w),
+l AS (SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+    - coalesce(sum(cap) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (SELECT source, source_size, ramp, least(cap, weight * (SELECT level FROM l WHERE level <= full_at ORDER BY full_at, source NULLS LAST LIMIT 1)) AS target FROM c),
+p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.ramp,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+n AS (SELECT *, CAST(floor(target / source_size) + CASE WHEN start + size / 2 < target - floor(target / source_size) * source_size THEN 1 ELSE 0 END AS BIGINT) AS copies FROM p WHERE size > 0),
+u AS (SELECT *, least(1.0::DOUBLE, (start + copy * source_size) / target) AS u FROM (SELECT *, unnest(range(copies)) AS copy FROM n))
+SELECT doc_id, source, round((ramp - 1 + sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * u)) / (2 * ramp), 9) AS position FROM u
 """,
 }
