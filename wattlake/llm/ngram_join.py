@@ -11,8 +11,9 @@ bound the overlap from above, and only pairs that pass are compared by exact int
 sorted arrays. Nothing is capped: large keys are cut into square tiles.
 
 Null, empty and white-space texts: no shingle, linked with nothing. Texts of one to four words: the
-whole sequence is one shingle. Rows that repeat a doc_id with another text are not expected; equal
-rows repeated give equal result rows. Other columns are ignored.
+whole sequence is one shingle. jaccard_components needs ids: rows that repeat a doc_id with another text
+are not expected, equal rows repeated give equal result rows; one_of_each takes null and repeated ids.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -252,9 +253,17 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
 
 
 def one_of_each(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents that stand for their component: those whose doc_id is its smallest."""
-    found = jaccard_components(docs, n, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == F.col("__keep"), "left_semi")
+    """One row of docs for each component: that of the smallest doc_id, rows without an id last. Rows are
+    told apart by doc_id and text, so that a null or repeated id is no hindrance; of equal ones, copies
+    of each other, one stays. All rows without a shingle stay."""
+    row = F.xxhash64(F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), "text"))
+    comp = jaccard_components(docs.select(row.alias("doc_id"), "text"), n, percent).withColumnRenamed("doc_id", "__row").distinct()
+    facts = docs.select(row.alias("__row"), F.col("doc_id").cast("long").alias("id")).groupBy("__row").agg(F.min("id").alias("id"), F.count("*").alias("times"))
+    facts = written(facts.join(comp, "__row"))
+    first = facts.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(F.struct("__row", "times"), F.struct(F.col("id").isNull(), "id", "__row")).alias("r"))
+    keep = first.select("r.__row", (F.col("r.times") > 1).alias("__several")).union(facts.where("n_shingles = 0").select("__row", F.lit(False)))
+    kept = docs.withColumn("__row", row).join(written(keep), "__row")
+    return kept.where("not __several").union(kept.where("__several").dropDuplicates(["__row"])).select(docs.columns)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
