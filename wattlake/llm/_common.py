@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.shipping import ship
+from ..plans.shipping import shared_folder, ship
 
 #: Buckets of a two-level running sum; the table of bucket totals has at most this many rows a group.
 BUCKETS = 1024
 #: Whether an execution's shuffle files go when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_own: dict[str, str | None] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,15 +20,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one of our own only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = _own.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="wattlake-")
-        _own[spark.sparkContext.applicationId] = folder
-    return folder
-
-
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession

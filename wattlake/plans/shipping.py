@@ -1,4 +1,4 @@
-"""Sends this package to the executors' Python workers, for sessions started without --py-files."""
+"""What executors and the driver share: this package, for sessions started without --py-files, and a folder."""
 
 from __future__ import annotations
 
@@ -9,6 +9,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
+_own: dict[str, str | None] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one of our own only where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = _own.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="wattlake-")
+        _own[spark.sparkContext.applicationId] = folder
+    return folder
 
 
 def ship(spark: SparkSession) -> None:
