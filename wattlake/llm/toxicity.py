@@ -41,10 +41,11 @@ SEPARATORS = " .-_*'~,/\\"
 #: inside a word), a run that shrinks, a separator or sign that stays. A separator that goes is free.
 SUBSTITUTED, SHRUNK, STAYED = 2.0, 1.0, 4.0
 SUSPECT = re.compile(
-    rb"(?<![A-Za-z0-9])[A-Za-z0-9@$!|](?:[ .\-_*'~,/\\]{1,2}[A-Za-z0-9@$!|](?![A-Za-z0-9\x80-\xff])){2,30}"  # letters spaced out
+    rb"(?<![A-Za-z0-9])[A-Za-z0-9@$!|](?:[ .\-_*'~,/\\]{1,2}[A-Za-z0-9@$!|](?![A-Za-z0-9\x80-\xff])){2,}"  # letters spaced out
     rb"|[A-Za-z0-9@$!|+\x80-\xff]*(?:[A-Za-z][0-9@$!|+(<]+[A-Za-z]|(?<![^\s])[@$!|0-9]+[A-Za-z]{2}|[A-Za-z]{2}[0-9@$|]+(?=\s|$)|([A-Za-z])\1\1|[A-Za-z][*._\-][A-Za-z][*._\-][A-Za-z])[A-Za-z0-9@$!|+*._\-\x80-\xff]*"
 )
-LONGEST_SPAN = 64
+#: Longest span that is remembered once decoded; longer ones are decoded each time.
+LONGEST_KNOWN = 64
 CLASSES = 64
 #: Byte classes: a to z are 1 to 26, digits 27 to 36, bytes over 127 share 37 to 62, the rest is 0.
 CLASS = np.zeros(256, np.int64)
@@ -98,10 +99,11 @@ def restore(span: str, cost: np.ndarray) -> str:
             kept = [(ch * run, 0.0)]
         options.append(kept)
         at += run
-    paths = {(0, 0): (0.0, "")}
+    # a path's text is a chain of its parts, so that decoding is linear in the span's length
+    paths: dict = {(0, 0): (0.0, None)}
     for kept in [*options, [(" ", 0.0)]]:
         new: dict = {}
-        for (a, b), (score, text) in paths.items():
+        for (a, b), (score, parts) in paths.items():
             for out, price in kept:
                 s, x, y = score + price, a, b
                 for byte in out.encode():
@@ -109,9 +111,13 @@ def restore(span: str, cost: np.ndarray) -> str:
                     s += float(cost[x, y, z])
                     x, y = y, z
                 if (x, y) not in new or s < new[x, y][0]:
-                    new[x, y] = (s, text + out)
+                    new[x, y] = (s, (parts, out))
         paths = new
-    return min(paths.values())[1][:-1]
+    parts, text = min(paths.values(), key=lambda p: p[0])[1], []
+    while parts:
+        parts, out = parts
+        text.append(out)
+    return "".join(reversed(text))[:-1]
 
 
 def suspect_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,15 +160,13 @@ class Restorer:
 
     def span(self, m: re.Match) -> bytes:
         raw = m[0]
-        if len(raw) > LONGEST_SPAN:
-            return raw  # keys and the like: no word is that long
         got = self.known.get(raw)
         if got is None:
             try:
                 got = restore(raw.decode(), self.cost).encode()
             except UnicodeDecodeError:
                 got = raw
-            if len(self.known) < 100_000:
+            if len(raw) <= LONGEST_KNOWN and len(self.known) < 100_000:
                 self.known[raw] = got
         # what was written stays beside what it was restored to
         return raw if got == raw.lower() else raw + b" " + got
