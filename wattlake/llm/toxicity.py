@@ -4,10 +4,10 @@ Method. (1) A character trigram model over byte classes is counted on all docume
 be obfuscated (letters mixed with look-alike signs, letters spaced out, runs of three of a letter) become
 lattices: each sign keeps itself or becomes a letter it resembles, separators may vanish, runs may
 shrink; Viterbi decoding picks the path of the best language-model plus channel score. (3) Features are
-the words of the restored text and their beginnings of PREFIXES bytes, each once a document. Those
-most frequent in toxic training documents, at most FEATURES, get log odds from counts over all labelled
-training documents. (4) A logistic regression on a document's highest log odds, fitted on at most
-FIT_ROWS labelled documents (those of the smallest hash; the bound is this parameter), gives the score.
+the words of the restored text and their beginnings of PREFIXES bytes, each once a document. Labelled
+training documents, about FIT_LABELS at most (those of the smallest hash; the bound is this parameter),
+say how often each occurs in either class; the FEATURES of the highest log odds are kept. (4) A logistic
+regression on a document's highest log odds, fitted on about FIT_ROWS of these documents, gives the score.
 
 Only labels of documents with crc32(doc_id as text) mod 5 not 0 are used; labels, language, source and
 id are no inputs of a score. Null and empty texts have no feature and get the score of no evidence.
@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import read, written
-from ._filters import thinned
+from ._common import drop_written, read, written
 from ._tables import summed_table
 from ._text import LOWER, mix, pieces, powers, utf8
 
@@ -33,7 +32,11 @@ FOLDS = 5
 PREFIXES = (4, 5, 6, 7)
 FEATURES = 1 << 17
 LEAST_TOXIC = 4
+#: The bounded sample of labelled rows that the classifier is fitted on, and the part that its regression takes.
+FIT_LABELS = 1 << 18
 FIT_ROWS = 20_000
+#: Slots of the filter of candidate features.
+FILTER_BITS = 22
 #: Letters that a sign may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "(": "c", "<": "c"}
 SEPARATORS = " .-_*'~,/\\"
@@ -224,20 +227,51 @@ def held_out(doc_id) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == 0
 
 
-def toxic_features(docs: DataFrame, cost) -> np.ndarray:
-    """Sorted hashes of the features most frequent in toxic training documents."""
+def feature_counts(docs: DataFrame, cost, bits=None) -> DataFrame:
+    """h, n: in how many texts each feature occurs. bits: a broadcast filter that features must pass, or None."""
 
     def count(batches):
-        restorer = Restorer(cost.value)
+        restorer, held, size = Restorer(cost.value), [], 0
         for batch in batches:
             for p in pieces(batch, "text", 1 << 20):
                 f, row = features(restorer.texts(p.column("text")))
+                if bits is not None:
+                    some = np.flatnonzero(bits.value[(f & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
+                    f, row = f[some], row[some]
                 _, once = np.unique(mix(f + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
-                h, n = np.unique(f[once], return_counts=True)
-                yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "n": n.astype(np.int64)})
-
-    top = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TOXIC).orderBy(F.desc("n"), "h").limit(FEATURES)
-    return np.sort(top.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+                held.append(f[once])
+                size += len(once)
+                if size > 1 << 20:
+                    yield counted(held)
+                    held, size = [], 0
+        if size:
+            yield counted(held)
+
+    def counted(held):
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_pydict({"h": h.view(np.int64), "n": n.astype(np.int64)})
+
+    return docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def telling_features(labelled: DataFrame, cost, n_clean: int, n_bad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and log odds of the features that speak most for toxicity. Those in LEAST_TOXIC toxic
+    texts at least are candidates; a filter of fixed size thins the clean texts' features before both meet."""
+    spark = labelled.sparkSession
+    bad = written(feature_counts(labelled.where("toxic = 1"), cost).where(F.col("n") >= LEAST_TOXIC).select("h", F.col("n").alias("bad")))
+    slot = F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    taken = bad.select(slot.alias("s")).groupBy(F.shiftright("s", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 31 as int))")).alias("v")).toPandas()
+    table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    table[taken["w"].to_numpy(np.int64)] = taken["v"].to_numpy(np.int64).astype(np.uint32)
+    bits = spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
+    clean = feature_counts(labelled.where("toxic = 0"), cost, bits).select("h", F.col("n").alias("clean"))
+    odds = F.log((F.col("bad") + 0.1) / (n_bad + 1)) - F.log((F.coalesce("clean", F.lit(0)) + 0.5) / (n_clean + 1))
+    # what speaks against toxicity is never looked at again
+    top = bad.join(clean, "h", "left").select("h", "bad", odds.alias("odds")).where("odds > 0").orderBy(F.desc("odds"), F.desc("bad"), "h").limit(FEATURES).toPandas()
+    bits.unpersist()
+    h, w = top["h"].to_numpy(np.int64).view(np.uint64), top["odds"].to_numpy(np.float64)
+    order = np.argsort(h)
+    return h[order], w[order]
 
 
 class Known:
@@ -290,35 +324,44 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return b
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, toxic of about FIT_LABELS labelled training documents (all, if fewer), those of the
+    smallest hash. Their ids go to the tasks, which pick the texts out of docs: no text is shuffled."""
+    seen = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("long").alias("toxic"))
+    seen = seen.where(~held_out(F.col("doc_id")))
+    few = smallest_hashes(seen, seen.count(), FIT_LABELS).toPandas().sort_values("doc_id")
+    chosen = docs.sparkSession.sparkContext.broadcast((few["doc_id"].to_numpy(np.int64), few["toxic"].to_numpy(np.int64)))
+
+    def pick(batches):
+        ids, toxic = chosen.value
+        for batch in batches:
+            got = batch.column("doc_id").to_numpy()
+            at = np.minimum(np.searchsorted(ids, got), max(len(ids) - 1, 0))
+            found = np.flatnonzero(ids[at] == got) if len(ids) else np.zeros(0, np.int64)
+            if len(found):
+                part = batch.take(pa.array(found))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(toxic[at[found]])], ["doc_id", "text", "toxic"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return written(rows.mapInArrow(pick, "doc_id long, text string, toxic long"))
+
+
+def smallest_hashes(rows: DataFrame, n: int, wanted: int) -> DataFrame:
+    """About `wanted` of n rows, those whose id's hash is smallest; all, if there are no more."""
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int((1 << 40) * wanted / n)) if n > wanted else rows
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     """The broadcast character costs, known features, log odds and regression weights."""
     spark = docs.sparkSession
     cost = spark.sparkContext.broadcast(character_model(docs))
-    seen = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("long").alias("toxic"))
-    seen = written(seen.where(~held_out(F.col("doc_id"))))
-    toxic = seen.where("toxic = 1").select("doc_id")
-    known = toxic_features(thinned(docs, toxic).join(toxic, "doc_id", "left_semi"), cost)
-    shared = spark.sparkContext.broadcast(known)
-    labelled = written(thinned(docs, seen).join(seen, "doc_id").select("doc_id", "text", "toxic"))
-    size = -(-(2 * len(known) + 2) // 64) * 64
-
-    def update(total, batch):
-        restorer, features_known = Restorer(cost.value), Known(shared.value)
-        for p in pieces(batch, "text", 1 << 20):
-            y = p.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-            row, f = features_known.hits(restorer.texts(p.column("text")))
-            np.add.at(total, 2 * f + y[row], 1)
-            total[2 * len(shared.value)] += (y == 0).sum()
-            total[2 * len(shared.value) + 1] += (y == 1).sum()
-
-    counts = summed_table(labelled, size, update)
-    k = len(known)
-    clean, bad = counts[0 : 2 * k : 2], counts[1 : 2 * k : 2]
-    n_clean, n_bad = counts[2 * k], counts[2 * k + 1]
-    odds = np.log((bad + 0.1) / (n_bad + 1)) - np.log((clean + 0.5) / (n_clean + 1)) if n_bad and n_clean else np.zeros(k)
-    # what speaks against toxicity is never looked at again
-    telling = odds > 0
-    telling_known, weights = spark.sparkContext.broadcast(known[telling]), spark.sparkContext.broadcast(odds[telling])
+    labelled = labelled_texts(docs, labels)
+    kinds = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n_clean, n_bad = kinds.get(0, 0), kinds.get(1, 0)
+    if not (n_clean and n_bad):
+        return cost, *map(spark.sparkContext.broadcast, (np.zeros(0, np.uint64), np.zeros(0), np.array([-30.0, 0, 0, 0])))
+    known, odds = telling_features(labelled, cost, n_clean, n_bad)
+    telling_known, weights = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(odds)
 
     def measure(batches):
         restorer, found = Restorer(cost.value), Known(telling_known.value)
@@ -327,9 +370,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
                 x = evidence(restorer.texts(p.column("text")), found, weights.value)
                 yield pa.RecordBatch.from_pydict({"y": p.column("toxic"), **{f"x{j}": x[:, j] for j in range(3)}})
 
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) if n_bad + n_clean > FIT_ROWS else labelled
+    sample = smallest_hashes(labelled, n_clean + n_bad, FIT_ROWS)
     got = sample.select("text", "toxic").mapInArrow(measure, "y long, x0 double, x1 double, x2 double").toPandas()
-    beta = fit_logistic(got[["x0", "x1", "x2"]].to_numpy(), got["y"].to_numpy(np.float64)) if n_bad and n_clean else np.array([-30.0, 0, 0, 0])
+    drop_written(labelled)
+    beta = fit_logistic(got[["x0", "x1", "x2"]].to_numpy(), got["y"].to_numpy(np.float64))
     return cost, telling_known, weights, spark.sparkContext.broadcast(beta)
 
 
