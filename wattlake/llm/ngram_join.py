@@ -36,6 +36,8 @@ COUNT_BITS = 22
 BITMAP_WORDS = 16
 #: Rows of one side of a tile.
 TILE = 2048
+#: Pairs that a task holds to return each once.
+HELD_PAIRS = 1 << 20
 
 
 def shingles(h: np.ndarray, at: np.ndarray, n: int = N_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -195,9 +197,19 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
                 if len(y):
                     yield np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
 
+    def once(found):
+        """The pairs of one task, each once: copies share many keys, so that their pair comes up in many tiles."""
+        a, b = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return a[new], b[new]
+
     def run(batches):
         rest = None
         done = False
+        found, size = [], 0
         it = iter(batches)
         while not done:
             batch = next(it, None)
@@ -213,12 +225,20 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
                 cut = cut[:-1]
             c = {k: t.column(k).to_numpy(zero_copy_only=False) for k in ("side", "same", "rep", "comp", "n", *bits)}
             bm = np.stack([c[k].view(np.uint64) for k in bits], axis=1)
-            found = []
             for lo, hi in zip(cut[:-1], cut[1:]):
                 if hi - lo > 1:
-                    found += pairs_of(*(c[k][lo:hi] for k in ("side", "same", "rep", "comp", "n")), bm[lo:hi])
-            if found:
-                yield pa.RecordBatch.from_pydict({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([x for _, x in found])})
+                    more = list(pairs_of(*(c[k][lo:hi] for k in ("side", "same", "rep", "comp", "n")), bm[lo:hi]))
+                    found += more
+                    size += sum(len(x) for x, _ in more)
+                    if size > HELD_PAIRS:
+                        a, b = once(found)
+                        found, size = [(a, b)], len(a)
+                        if size > HELD_PAIRS // 2:
+                            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+                            found, size = [], 0
+        if found:
+            a, b = once(found)
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     return parts.mapInArrow(run, "a long, b long").distinct()
 
