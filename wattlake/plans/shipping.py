@@ -8,6 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of a batch that goes to a Python worker; batches of long texts stay small.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 _sent: set[str] = set()
 _own: dict[str, str | None] = {}
 
@@ -22,7 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Adds the package, zipped, to the application's Python files; once for each application."""
+    """Adds the package, zipped, to the application's Python files, once for each application, and bounds the
+    bytes of Arrow batches."""
+    spark.conf.set(BATCH, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _sent:
         return
