@@ -143,15 +143,21 @@ def test_mixing_meets_targets(spark, edge, empty):
     rows = mixing.placed(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
     taken, target, own = Counter(), {}, {}
     for r in rows:
-        taken[r.source] += r.copies * r.size
-        target[r.source], own[r.source] = r.target, r.source_size
-        assert r.copies <= 2
+        taken[r.source] += r["__copies"] * r["__size"]
+        target[r.source], own[r.source] = r["__target"], r["__source_size"]
+        assert r["__copies"] <= 2
     assert math.isclose(sum(target.values()), 1.5 * sum(own.values()), rel_tol=1e-9)
     assert all(abs(taken[s] - target[s]) <= 30 and target[s] <= 2 * own[s] + 1e-6 for s in target)
     again = mixing.mixed(edge).select("doc_id", "position").collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, mixing.mixed(edge.repartition(3)).select("doc_id", "position").collect()))
-    assert mixing.mixed(edge).columns == [*edge.columns, "position"] or "size" in edge.columns
-    assert mixing.placed(empty.drop("size", "key")).count() == 0
+    assert mixing.mixed(edge).columns == [*edge.columns, "position"]
+    names = ["size", "start", "copies", "target", "source_size", "ramp", "position"]
+    clash = edge.drop("size").withColumns({c: F.lit(f"own {c}") for c in names})
+    got = mixing.mixed(clash)
+    assert got.columns == [*clash.columns[:-1], "position"]
+    assert sorted((r.doc_id, r.position) for r in got.collect()) == sorted(map(tuple, again))
+    assert {tuple(r) for r in got.select(names[:-1]).collect()} == {tuple(f"own {c}" for c in names[:-1])}
+    assert mixing.mixed(empty).count() == mixing.placed(empty).count() == 0
 
 
 def test_sharding_is_even_and_gathers_copies(spark, edge, empty):

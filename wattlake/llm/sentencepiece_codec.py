@@ -6,11 +6,13 @@ white-space rules, the metaspace marker, unigram scores or, for a BPE model, mer
 score of the piece they make, byte fallback, and the decoder. Where no piece holds a marker after
 another character, texts may be cut before markers without changing a result, which keeps the work
 linear in long texts. The rebuilt pipeline goes to the tasks as one JSON string; batches are
-encoded with the library's own threads, as many as spark.task.cpus. In every batch the shortest
-text's ids are held against the sentencepiece library itself; a difference fails the query.
+encoded with the library's own threads, as many as spark.task.cpus. Ids are decoded by joining the bytes
+of their pieces (what the rebuilt decoder does, many texts at once). In every slice of a batch the text of
+middle length is the probe: its ids are held against the sentencepiece library itself, and its decoding
+against the rebuilt decoder; a difference fails the query.
 
 Null and empty texts have no ids and decode to an empty text. Texts are encoded whole. Other columns
-pass through `encoded`. Control pieces written out in a text are ordinary text.
+pass through `encoded`; those of the names that it adds are replaced. Control pieces written out in a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._common import read
 from ._text import pieces as slices
@@ -31,6 +34,8 @@ MARKER = "▁"
 #: Fixed values of the model format: field numbers and types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: What `encoded` adds.
+ADDED = ("ids", "n_tokens", "ids_crc32", "round_trip")
 
 
 def fields(raw: bytes) -> dict[int, list]:
@@ -117,6 +122,33 @@ def rebuild(raw: bytes):
     return out
 
 
+def piece_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that all ids decode to, in a row, and the n + 1 offsets of ids in them."""
+    found = []
+    for piece, _, kind in parse(raw)["pieces"]:
+        found.append(bytes([int(piece[3:-1], 16)]) if kind == BYTE else piece.replace(MARKER, " ").encode())
+    return np.frombuffer(b"".join(found), np.uint8), np.cumsum([0, *map(len, found)])
+
+
+class Joiner:
+    """Decodes lists of ids by joining the bytes of their pieces."""
+
+    def __init__(self, raw: bytes):
+        self.data, self.at = piece_bytes(raw)
+        self.size = np.diff(self.at)
+        self.trim = parse(raw)["dummy_prefix"]
+
+    def texts(self, flat: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """The bytes of each text, whose ids are flat[at[i]:at[i + 1]]."""
+        n = self.size[flat]
+        ends = np.cumsum(n)
+        shift = np.repeat(self.at[flat] - (ends - n), n)
+        raw = self.data[shift + np.arange(len(shift))].tobytes()
+        cut = np.concatenate([[0], ends])[at]
+        found = [raw[lo:hi] for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        return [x[1:] if x[:1] == b" " else x for x in found] if self.trim else found
+
+
 def file_bytes(spark: SparkSession, path: str) -> bytes:
     """A model file, read by Spark where the driver has no such file of its own."""
     if os.path.exists(path):
@@ -131,6 +163,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     raw = file_bytes(spark, model_path)
     shared = spark.sparkContext.broadcast((raw, rebuild(raw).to_str()))
     threads = spark.conf.get("spark.task.cpus", "1")
+    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in ADDED])
     names = docs.columns
 
     def encode(batches):
@@ -140,24 +173,46 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
 
         tokenizer = Tokenizer.from_str(shared.value[1])
         reference = sentencepiece.SentencePieceProcessor(model_proto=shared.value[0])
+        joiner = Joiner(shared.value[0])
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 ids = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                probe = min(range(len(texts)), key=lambda i: (not texts[i], len(texts[i])))
-                if ids[probe] != reference.encode(texts[probe]):
-                    raise ValueError(f"ids of the rebuilt tokenizer differ from the model's own for {texts[probe][:200]!r}")
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
                 at = np.cumsum([0, *map(len, ids)])
                 flat = np.concatenate([np.asarray(x, np.int32) for x in ids])
+                back = joiner.texts(flat, at)
+                probe = sorted(range(len(texts)), key=lambda i: len(texts[i]))[len(texts) // 2]
+                if ids[probe] != reference.encode(texts[probe]):
+                    raise ValueError(f"ids of the rebuilt tokenizer differ from the model's own for {texts[probe][:200]!r}")
+                if back[probe].decode(errors="replace") != tokenizer.decode(ids[probe], skip_special_tokens=False):
+                    raise ValueError(f"ids decode otherwise than by the rebuilt decoder for {texts[probe][:200]!r}")
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))
                 crc = [zlib.crc32(flat[lo:hi].astype("<i4").tobytes()) for lo, hi in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array([len(x) for x in ids], pa.int64()), pa.array(crc, pa.int64()), pa.array([a == b for a, b in zip(texts, back)], pa.bool_())], [*names, "ids", "n_tokens", "ids_crc32", "round_trip"])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array([len(x) for x in ids], pa.int64()), pa.array(crc, pa.int64()), pa.array([a.encode() == b for a, b in zip(texts, back)], pa.bool_())], [*names, *ADDED])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["ids array<int>", "n_tokens long", "ids_crc32 long", "round_trip boolean"])
     return docs.mapInArrow(encode, schema)
 
 
+def decoded(rows: DataFrame, model_path: str = MODEL) -> DataFrame:
+    """rows with `decoded`: the text of their `ids` (array of int); null ids decode to an empty text, bytes that
+    are no UTF-8 to the replacement character. Ids outside the model fail."""
+    raw = file_bytes(rows.sparkSession, model_path)
+    shared = rows.sparkSession.sparkContext.broadcast(raw)
+    names = [c for c in rows.columns if c != "decoded"]
+    rows = rows.select(names)
+
+    def decode(batches):
+        joiner = Joiner(shared.value)
+        for batch in batches:
+            lists = batch.column("ids")
+            size = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
+            texts = joiner.texts(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(size)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.decode(errors="replace") for x in texts], pa.string())], [*names, "decoded"])
+
+    return rows.mapInArrow(decode, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + ["decoded string"]))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "ids_crc32", "round_trip")
 
