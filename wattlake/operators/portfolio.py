@@ -38,9 +38,9 @@ def portfolio_totals(results: DataFrame, z: float = 1.96) -> DataFrame:
 
 def segment_fences(results: DataFrame, least: int = 30) -> DataFrame:
     """Capacity statistics and fences of 2 interquartile ranges by segment; small segments go to `other`."""
-    pv = results.where("has_pv and pv_capacity_kwp is not null")
+    pv = results.where("has_pv and pv_capacity_kwp > 0").withColumn("segment", F.coalesce("segment", F.lit("unknown")))
     n = F.count("*").over(Window.partitionBy("segment"))
-    s = pv.withColumn("segment", F.when(n < least, "other").otherwise(F.coalesce("segment", F.lit("unknown"))))
+    s = pv.withColumn("segment", F.when(n < least, "other").otherwise(F.col("segment")))
     q = lambda p: F.percentile("pv_capacity_kwp", F.lit(p))
     g = s.groupBy("segment").agg(F.count("*").alias("n"), F.avg("pv_capacity_kwp").alias("mean"), q(0.5).alias("median"), q(0.25).alias("q25"), q(0.75).alias("q75"))
     iqr = F.col("q75") - F.col("q25")
@@ -48,9 +48,14 @@ def segment_fences(results: DataFrame, least: int = 30) -> DataFrame:
 
 
 def capacity_flags(results: DataFrame, fences: DataFrame) -> DataFrame:
+    """How each capacity lies to the fences of its segment; segments without fences are held against those of `other`."""
     c = F.col("pv_capacity_kwp")
-    flag = F.when(c.isNull(), "no_data").when(c < F.col("low_fence"), "too_low").when(c > F.col("high_fence"), "too_high").otherwise("ok")
-    rows = results.where("has_pv").join(F.broadcast(fences.select("segment", "low_fence", "high_fence")), "segment", "left")
+    flag = F.when(c.isNull() | (c <= 0), "no_data").when(c < F.col("low_fence"), "too_low").when(c > F.col("high_fence"), "too_high").otherwise("ok")
+    bounds = fences.select("segment", "low_fence", "high_fence")
+    rows = results.where("has_pv").withColumn("segment", F.coalesce("segment", F.lit("unknown")))
+    # one row a segment
+    rows = rows.join(F.broadcast(bounds.select("segment", F.lit(True).alias("__own"))), "segment", "left")
+    rows = rows.withColumn("segment", F.when(F.col("__own").isNull(), "other").otherwise(F.col("segment"))).join(F.broadcast(bounds), "segment", "left")
     return rows.select("customer_id", "segment", "pv_capacity_kwp", flag.alias("capacity_flag"))
 
 
@@ -157,12 +162,13 @@ def days_histogram(results: DataFrame, column: str) -> DataFrame:
     return battery_columns(results).groupBy("detected", column).agg(F.count("*").alias("n"))
 
 
-def density(values: DataFrame, value: str, points: int = 100) -> DataFrame:
-    """Gaussian kernel density on a grid over the values' range widened by half of it on both sides,
+def density(values: DataFrame, value: str, points: int = 1000) -> DataFrame:
+    """Gaussian kernel density of the positive values on a grid over their range widened by half of it on both sides,
     Scott's bandwidth. The grid has `points` rows and is all that is replicated."""
-    s = values.where(F.col(value).isNotNull()).agg(F.count("*").alias("n"), F.stddev_samp(value).alias("sd"), F.min(value).alias("lo"), F.max(value).alias("hi")).where("sd > 0")
+    values = values.where(F.col(value) > 0)
+    s = values.agg(F.count("*").alias("n"), F.stddev_samp(value).alias("sd"), F.min(value).alias("lo"), F.max(value).alias("hi")).where("sd > 0")
     span = F.col("hi") - F.col("lo")
     grid = s.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).select("i", (F.col("lo") - 0.5 * span + 2 * span * F.col("i") / (points - 1)).alias("x"), (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("h"))
     k = F.exp(-0.5 * F.pow((F.col("x") - F.col(value)) / F.col("h"), F.lit(2))) / (F.col("h") * 2.5066282746310002)
-    both = values.where(F.col(value).isNotNull()).select(value).withColumn("__one", F.lit(1)).join(F.broadcast(grid.withColumn("__one", F.lit(1))), "__one")
+    both = values.select(value).withColumn("__one", F.lit(1)).join(F.broadcast(grid.withColumn("__one", F.lit(1))), "__one")
     return both.groupBy("i", "x").agg(F.avg(k).alias("density")).drop("i")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import appliances as ap
 from ..operators import battery, ev, pv
 from ..sources import adapters as A
+from .pipeline import join_scalar as pipeline_join
 from .series_queries import AL, EV, M, W, _STEP, aligned, rounded, with_sql
 
 
@@ -57,35 +55,40 @@ def curve_quality(spark, d):
     return rounded(ap.usable(ap.curve_quality(train(spark, d), ["type", "customer_id"]), 500, 100, 100, 40.0, 0.001))
 
 
+#: Rules of usability for the meter of the star schema, whose customers have a row each few days.
+SPARSE = {"AC": (500, 0, 100, 60.0, 0.001), "HP": (500, 100, 100, 60.0, 0.001), "TOT": (500, 0, 0, 90.0, 0.001)}
+
+
+def curves(spark, d, kind):
+    return train(spark, d).where(F.col("type") == kind).withColumnRenamed("value_kw_mean", "kw")
+
+
 def ac_label(spark, d):
-    return rounded(ap.ac_label(train(spark, d).where("type = 'AC'").withColumnRenamed("value_kw_mean", "kw")))
+    return rounded(ap.ac_label(curves(spark, d, "AC"), SPARSE["AC"]))
 
 
 def hp_label(spark, d):
-    return rounded(ap.hp_label(train(spark, d).where("type = 'HP'").withColumnRenamed("value_kw_mean", "kw")))
+    return rounded(ap.hp_label(curves(spark, d, "HP"), SPARSE["HP"]))
 
 
 def align_tot_ac(spark, d):
-    t = train(spark, d)
-    tot = t.where("type = 'TOT'").select("customer_id", "ts", F.col("value_kw_mean").alias("tot_kw"), "temp")
-    ac = t.where("type = 'AC'").select("customer_id", "ts", F.col("value_kw_mean").alias("ac_kw"))
-    both = tot.join(ac, ["customer_id", "ts"])
-    return rounded(both.withColumns({"ac_on": (F.col("ac_kw") >= 0.05).cast("int"), "ac_ratio": F.when(F.col("tot_kw") > 0, F.least(F.col("ac_kw") / F.col("tot_kw"), F.lit(1.0))).otherwise(0.0)}), 9)
+    return rounded(ap.aligned_pairs(train(spark, d), "AC", SPARSE["TOT"]), 9)
+
+
+def align_tot_hp(spark, d):
+    return rounded(ap.aligned_pairs(train(spark, d), "HP", SPARSE["TOT"], SPARSE["HP"]), 9)
 
 
 def sample_weights(spark, d):
     """1 / rows of the customer, scaled to a mean of 1."""
-    t = train(spark, d).where("type = 'TOT'")
-    n = t.groupBy("customer_id").agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("rows"), F.count("*").alias("customers"))  # one row
-    return rounded(n.crossJoin(F.broadcast(total)).select("customer_id", "n", (F.col("rows") / F.col("customers") / F.col("n")).alias("sample_weight")))
+    t = ap.row_weights(train(spark, d).where("type = 'TOT'").select("customer_id"))
+    return rounded(t.groupBy("customer_id").agg(F.count("*").alias("n"), F.min("sample_weight").alias("sample_weight")))
 
 
 def f_to_c(spark, d):
     """Customers whose highest temperature is over 55 are taken to be in Fahrenheit."""
     t = rows(spark, d).withColumn("temp", F.when(F.col("customer_id").cast("long") % 2 == 0, F.col("temp") * 9 / 5 + 32).otherwise(F.col("temp")))
-    top = F.max("temp").over(Window.partitionBy("customer_id"))
-    return rounded(t.withColumn("top", top).select("customer_id", "ts", F.when(F.col("top") > 55, (F.col("temp") - 32) * 5 / 9).otherwise(F.col("temp")).alias("temp")))
+    return rounded(ap.in_celsius(t).select("customer_id", "ts", "temp"))
 
 
 def appliance_manifest(spark, d):
@@ -110,20 +113,20 @@ def rebuilt_load(spark, d):
 
 def join_scalar(spark, d):
     """Scalar results side by side: full outer joins on the customer, the right side's own columns only."""
-    parts = [pv_facts(spark, d), ev.detect_ev(A.meter(spark, d), grid_kw=0.4, least=3, spread=0.6).where("sessions > 0").select("customer_id", "has_ev", "prob_ev"), ap.hp_features(rows(spark, d)).select("customer_id", "n_night_rows"), ap.ac_label(train(spark, d).where("type = 'AC'").withColumnRenamed("value_kw_mean", "kw")).select("customer_id", "has_ac")]
-    return rounded(reduce(lambda a, b: a.join(b, "customer_id", "full"), parts))
+    parts = [pv_facts(spark, d), ev.detect_ev(A.meter(spark, d), grid_kw=0.4, least=3, spread=0.6).where("sessions > 0").select("customer_id", "has_ev", "prob_ev"), ap.hp_features(rows(spark, d)).select("customer_id", "n_night_rows"), ap.ac_label(curves(spark, d, "AC"), SPARSE["AC"]).select("customer_id", "has_ac")]
+    return rounded(pipeline_join(parts))
 
 
 def annual_kwh(spark, d):
     """Energy of each appliance curve by customer."""
-    return rounded(train(spark, d).where("type <> 'TOT'").groupBy("type", "customer_id").agg((F.sum("value_kw_mean") * 0.25).alias("kwh"), F.avg("value_kw_mean").alias("mean_kw")))
+    return rounded(ap.annual_energy(train(spark, d).where("type <> 'TOT'"), "value_kw_mean", ["type", "customer_id"]))
 
 
-QUERIES = {f.__name__: f for f in (ev_detect, ev_sessions, hp_features, ac_features, user_profile_ac, user_profile_hp, disagg_features_ac, disagg_features_hp, curve_quality, ac_label, hp_label, align_tot_ac, sample_weights, f_to_c, appliance_manifest, battery_detect, rebuilt_load, join_scalar, annual_kwh)}
+QUERIES = {f.__name__: f for f in (ev_detect, ev_sessions, hp_features, ac_features, user_profile_ac, user_profile_hp, disagg_features_ac, disagg_features_hp, curve_quality, ac_label, hp_label, align_tot_ac, align_tot_hp, sample_weights, f_to_c, appliance_manifest, battery_detect, rebuilt_load, join_scalar, annual_kwh)}
 
 _ROWS = """
 rows AS (SELECT customer_id, ts, conso_kwh * 4 AS load, t_2m_c AS temp, global_rad_w AS rad FROM aligned)"""
-_T = with_sql(M, W, AL, A.TRAINING_SQL)
+_T = with_sql(M, W, AL, A.TRAINING_SQL.replace("training AS (", "training AS MATERIALIZED ("))
 _L = with_sql(M, W, AL, _ROWS)
 _BAL = "round(({0} - {1}) / (abs({0}) + abs({1}) + 1e-8), 6)"
 
@@ -140,31 +143,61 @@ def _mean(where):
 _S, _WI, _SP = "month(ts) IN (6, 7, 8)", "month(ts) IN (12, 1, 2)", "month(ts) IN (3, 4, 5)"
 
 
-def _features(source, hot, cold):
-    auto = ", ".join(f"CASE WHEN count(*) > {k + 2} THEN {_corr('load', f'lag_{k}', least=2)} END AS autocorr_{k}" for k in (1, 4, 96))
-    return f"""{_corr('load', 'temp')} AS corr_all, {_corr('load', 'temp', f'temp > {hot}')} AS corr_hot, {_corr('load', 'temp', f'temp < {cold}')} AS corr_cold,
+def _features(third, hot, cold, lags):
+    auto = ", ".join(f"CASE WHEN count(*) > {k + 2} THEN {_corr('load', f'lag_{k}', least=2)} END AS autocorr_{k}" for k in lags)
+    return f"""{_corr('load', 'temp')} AS corr_all, {_corr('load', 'temp', f'temp > {hot}')} AS corr_hot, {third},
   {_BAL.format(_mean(_S), _mean(_WI))} AS season_balance, {_BAL.format(_mean(f'temp > {hot}'), _mean(f'temp < {cold}'))} AS thermal_balance, {auto},
   round(stddev_samp(load) / (abs(avg(load)) + 1e-8), 6) AS coeff_var"""
 
 
 _LAGGED = "lagged AS (SELECT *, lag(load, 1) OVER w AS lag_1, lag(load, 4) OVER w AS lag_4, lag(load, 96) OVER w AS lag_96 FROM part WINDOW w AS (PARTITION BY customer_id ORDER BY ts))"
-_PROFILE = """, q AS (SELECT customer_id, quantile_cont(load, 0.05) AS q05, quantile_cont(load, 0.10) AS q10, quantile_cont(load, 0.50) AS q50, quantile_cont(load, 0.95) AS q95, avg(load) AS mean, stddev_samp(load) AS std,
-    avg(load) FILTER (hour(ts) < 6 OR hour(ts) >= 22) AS night_mean, avg(load) FILTER (hour(ts) BETWEEN 6 AND 21) AS day_mean FROM rows GROUP BY 1),
-b AS (SELECT customer_id, avg(CASE WHEN load > 1.2::DOUBLE * q10 THEN 1.0::DOUBLE ELSE 0 END) AS share_above_base FROM rows JOIN q USING (customer_id) GROUP BY 1),
-p AS (SELECT q.*, share_above_base, day_mean / (night_mean + 1e-6) AS day_night_ratio, mean / (q95 + 1e-6) AS load_factor, q95 / (q50 + 1e-6) AS spike FROM q JOIN b USING (customer_id)),
-s AS (SELECT *, least(greatest(0.5::DOUBLE * load_factor + 0.3::DOUBLE * share_above_base - 0.15::DOUBLE * least(spike / 2.5::DOUBLE, 1) - 0.05::DOUBLE * least(abs(day_night_ratio - 1), 2) / 2, 0), 1) AS hp_likeness FROM p)"""
-_PCOLS = ", ".join(f"round({c}, 6) AS {c}" for c in ("q10", "q50", "q95", "mean", "std", "night_mean", "day_mean", "share_above_base", "day_night_ratio", "load_factor", "spike"))
+def _profile(sun, kw):
+    return f""", q AS (SELECT customer_id, quantile_cont(load, 0.05) AS q05, quantile_cont(load, 0.10) AS q10, quantile_cont(load, 0.50) AS q50, quantile_cont(load, 0.95) AS q95, avg(load) AS mean, stddev_samp(load) AS std,
+    avg(load) FILTER (rad <= {sun}) AS night_mean, avg(load) FILTER (rad > {sun}) AS day_mean FROM rows GROUP BY 1),
+b AS (SELECT customer_id, avg(CASE WHEN load > q10 + {kw}::DOUBLE THEN 1.0::DOUBLE ELSE 0 END) AS share_above_base FROM rows JOIN q USING (customer_id) GROUP BY 1),
+p AS (SELECT q.*, share_above_base, day_mean / (night_mean + 1e-6) AS day_night_ratio, mean / (q95 + 1e-6) AS load_factor, std / (abs(mean) + 1e-6) AS spike, q10 / (mean + 1e-6) AS base_share FROM q JOIN b USING (customer_id)),
+s AS (SELECT *, least(greatest(0.5::DOUBLE * least(greatest(coalesce(load_factor, 0), 0), 1) + 0.3::DOUBLE * coalesce(share_above_base, 0) - 0.15::DOUBLE * least(greatest(coalesce(spike, 0) / 2.5::DOUBLE, 0), 1) - 0.05::DOUBLE * least(abs(coalesce(day_night_ratio, 1) - 1), 2) / 2, 0), 1) AS hp_likeness FROM p)"""
+
+
+_PNAMES = ("q10", "q50", "q95", "mean", "std", "night_mean", "day_mean", "share_above_base", "day_night_ratio", "load_factor", "spike", "base_share")
+_PCOLS = ", ".join(f"round({c}, 6) AS {c}" for c in _PNAMES)
+
+
+def _disagg(sun, kw, extra, more=()):
+    past = ", ".join(f"w{k} AS (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)" for k in (4, 8, 96))
+    turns = ", ".join(f"round({f}(2 * pi() * {x} / {n}), 9) AS {c}_{f}" for c, x, n in (("qidx", "(hour(ts) * 4 + minute(ts) // 15)", 96), ("dow", "(isodow(ts) - 1)", 7), ("month", "(month(ts) - 1)", 12)) for f in ("sin", "cos"))
+    user = ", ".join([f"round(s.{c}, 9) AS user_{c}" for c in (*_PNAMES, *more)] + [f"round(s.{c}, 9) AS {c}" for c in ("hp_likeness",) if more])
+    return _L + _profile(sun, kw) + f""" SELECT customer_id, ts, round(load, 9) AS load, round(temp, 9) AS temp, round(rad, 9) AS rad, {", ".join(f"round(lag(load, {k}) OVER w, 9) AS lag_{k}" for k in (1, 4, 8, 96))},
+  {", ".join(f"round(avg(load) OVER w{k}, 9) AS roll_mean_{k}, round(stddev_samp(load) OVER w{k}, 9) AS roll_std_{k}" for k in (4, 8, 96))},
+  round(load - lag(load, 1) OVER w, 9) AS diff_1, round(load - lag(load, 4) OVER w, 9) AS diff_4, CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute, CAST(hour(ts) * 4 + minute(ts) // 15 AS INTEGER) AS quarter_index, CAST(isodow(ts) - 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER) AS month,
+  {turns}, {extra}, {user}, round(load - s.q10, 9) AS tot_minus_baseline, round(load / (s.mean + 1e-6), 9) AS tot_over_mean, round(load / (s.q95 + 1e-6), 9) AS tot_over_p95
+FROM rows JOIN s USING (customer_id) WINDOW w AS (PARTITION BY customer_id ORDER BY ts), {past}"""
+
+
+_HDD, _CDD = "CASE WHEN temp IS NOT NULL THEN greatest(18 - temp, 0) END", "CASE WHEN temp IS NOT NULL THEN greatest(temp - 28, 0) END"
+_NIGHT, _DAY = "(CASE WHEN rad <= 20 THEN 1 ELSE 0 END)", "(CASE WHEN rad > 50 THEN 1 ELSE 0 END)"
+
+
+def _quality(kind, where):
+    rows, winter, summer, gap, coverage = SPARSE[kind]
+    return f"""(SELECT customer_id, CASE WHEN n_rows < {rows} THEN 'too_few_rows' WHEN n_winter < {winter} THEN 'too_few_winter_rows' WHEN n_summer < {summer} THEN 'too_few_summer_rows' WHEN max_gap_days > {gap} THEN 'gap_too_long' WHEN coverage < {coverage} THEN 'coverage_too_low' ELSE 'ok' END AS quality
+  FROM (SELECT customer_id, count(*) AS n_rows, count(*) FILTER (month(ts) IN (12, 1, 2)) AS n_winter, count(*) FILTER (month(ts) IN (6, 7, 8)) AS n_summer, coalesce(max(gap), 0) / 86400 AS max_gap_days, count(*) / (floor((max(epoch(ts)) - min(epoch(ts))) / 900) + 1) AS coverage
+    FROM (SELECT *, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY customer_id ORDER BY ts) AS gap FROM training WHERE {where}) GROUP BY 1))"""
+
+
+_HP_LABEL = f"""hp0 AS (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 28')} AS corr_hot, {_corr('value_kw_mean', 'temp', 'temp < 10')} AS corr_cold FROM training WHERE type = 'HP' GROUP BY 1),
+hp1 AS (SELECT hp0.*, CASE WHEN quality <> 'ok' THEN quality WHEN abs(corr_all) >= 0.2 THEN 'all_year_corr' WHEN corr_cold <= -0.2 AND corr_hot >= 0.2 AND abs(corr_cold) >= abs(corr_hot) THEN 'cold_check_stronger_than_hot' WHEN corr_cold <= -0.2 AND corr_hot >= 0.2 THEN 'hot_check_stronger_than_cold'
+    WHEN corr_cold <= -0.2 THEN 'cold_check' WHEN corr_hot >= 0.2 THEN 'hot_check' ELSE 'weak_after_temperature_checks' END AS reason FROM hp0 JOIN {_quality("HP", "type = 'HP'")} USING (customer_id)),
+hp AS (SELECT *, CASE WHEN reason = 'all_year_corr' THEN CASE WHEN corr_all < 0 THEN 'winter_hp' ELSE 'summer_hp' END WHEN reason IN ('cold_check_stronger_than_hot', 'cold_check') THEN 'winter_hp' WHEN reason IN ('hot_check_stronger_than_cold', 'hot_check') THEN 'summer_hp' END AS hp_season FROM hp1)"""
 
 
-def _disagg(extra):
-    past = ", ".join(f"w{k} AS (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)" for k in (4, 96))
-    return _L + f""" SELECT customer_id, ts, round(load, 9) AS load, round(temp, 9) AS temp, round(rad, 9) AS rad, {", ".join(f"round(lag(load, {k}) OVER w, 9) AS lag_{k}" for k in (1, 4, 96))},
-  {", ".join(f"round(avg(load) OVER w{k}, 9) AS roll_mean_{k}, round(stddev_samp(load) OVER w{k}, 9) AS roll_std_{k}" for k in (4, 96))},
-  round(load - lag(load, 1) OVER w, 9) AS diff_1, round(load - lag(load, 4) OVER w, 9) AS diff_4, round(load / (avg(load) OVER w96 + 1e-3), 9) AS ratio_96, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER) AS month, {extra}
-FROM rows WINDOW w AS (PARTITION BY customer_id ORDER BY ts), {past}"""
+def _pairs(kind, kw, more):
+    n = kind.lower()
+    return f"""SELECT t.customer_id, t.ts, round(t.value_kw_mean, 9) AS tot_kw, round(t.temp, 9) AS temp, round(t.glob_rad, 9) AS rad, round(a.value_kw_mean, 9) AS {n}_kw, CASE WHEN a.value_kw_mean >= {kw} THEN 1 ELSE 0 END AS {n}_on, round(least(greatest(a.value_kw_mean / (t.value_kw_mean + 1e-6), 0), 1), 9) AS {n}_ratio
+FROM (SELECT * FROM training WHERE type = 'TOT' AND abs(value_kw_mean) > 1e-6) t JOIN (SELECT * FROM training WHERE type = '{kind}') a ON t.customer_id = a.customer_id AND t.ts = a.ts
+WHERE t.customer_id IN (SELECT customer_id FROM {_quality("TOT", "type = 'TOT'")} WHERE quality = 'ok'){more}"""
 
 
-_NIGHT = "CASE WHEN hour(ts) < 6 OR hour(ts) >= 22 THEN 1 ELSE 0 END"
 _EV = with_sql(M) + """,
 kw AS (SELECT customer_id, ts, conso_kwh / 0.25::DOUBLE AS kw, prod_kwh / 0.25::DOUBLE AS pv, conso_kwh / 0.25::DOUBLE - prod_kwh / 0.25::DOUBLE AS net FROM meter),
 bl AS (SELECT customer_id, median(net) AS base FROM kw WHERE hour(ts) BETWEEN 1 AND 3 GROUP BY 1),
@@ -178,7 +211,7 @@ w AS (SELECT customer_id, max(k) AS per_week FROM (SELECT customer_id, date_trun
 o AS (SELECT customer_id, count(*) AS sessions, avg(mean) AS kw, avg(mean * n * 0.25::DOUBLE) AS kwh, stddev_samp(mean * n * 0.25::DOUBLE) / (avg(mean * n * 0.25::DOUBLE) + 1e-6) AS uneven FROM s GROUP BY 1),
 y AS (SELECT customer_id, sum(conso_kwh) / 1000 AS yearly_mwh FROM meter GROUP BY 1),
 x AS (SELECT y.*, sessions, yearly_mwh >= 100 AS filtered, 0.30::DOUBLE / (1 + exp(-0.4::DOUBLE * (sessions - 8))) + 0.25::DOUBLE / (1 + exp(-1.2::DOUBLE * (per_week - 2))) + 0.20::DOUBLE * least(greatest((kw - 0.8::DOUBLE) / 1.7::DOUBLE, 0), 1)
-  + 0.15::DOUBLE * least(greatest((kwh - 4) / 16, 0), 1) + 0.10::DOUBLE * coalesce(least(greatest(1 - uneven, 0), 1), 1) AS score FROM y LEFT JOIN o USING (customer_id) LEFT JOIN w USING (customer_id)),
+  + 0.15::DOUBLE * least(greatest((kwh - 4) / 16, 0), 1) + 0.10::DOUBLE * (CASE WHEN uneven IS NULL THEN 1 ELSE least(greatest(1 - uneven, 0), 1) END) AS score FROM y LEFT JOIN o USING (customer_id) LEFT JOIN w USING (customer_id)),
 ev AS (SELECT customer_id, yearly_mwh, filtered, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(sessions, 0) END AS BIGINT) AS sessions, CASE WHEN filtered OR sessions IS NULL THEN 0.0::DOUBLE ELSE round(least(greatest(score, 0), 1), 3) END AS prob_ev FROM x)"""
 SQL = {
     "ev_detect": _EV + " SELECT customer_id, round(yearly_mwh, 6) AS yearly_mwh, filtered, sessions, prob_ev, prob_ev >= 0.8 AS has_ev FROM ev",
@@ -189,26 +222,27 @@ e AS (SELECT customer_id, ts AS start, fall AS "end" FROM n WHERE diff > 0.1 AND
 k AS (SELECT e.customer_id, start, "end", sum(c) AS energy_kwh, min(c) AS least FROM e JOIN g ON g.customer_id = e.customer_id AND g.ts >= start AND g.ts < "end" GROUP BY ALL)
 SELECT customer_id, start, "end", CAST(date_diff('minute', start, "end") AS INTEGER) AS minutes, round(energy_kwh, 6) AS energy_kwh, strftime(start + to_hours(1), '%d.%m.%Y %H:%M') AS start_local, strftime("end" + to_hours(1), '%d.%m.%Y %H:%M') AS end_local, strftime(start + to_hours(1), '%Y-%m-%d') AS date_local
 FROM k WHERE least >= 0.1 AND date_diff('minute', start, "end") >= 30""",
-    "hp_features": _L + f", part AS (SELECT * FROM rows WHERE rad <= 20), {_LAGGED} SELECT customer_id, count(*) AS n_night_rows, {_features('lagged', 28, 10)} FROM lagged GROUP BY customer_id HAVING count(*) >= 100",
+    "hp_features": _L + f", part AS (SELECT * FROM rows WHERE rad <= 20), {_LAGGED} SELECT customer_id, count(*) AS n_night_rows, {_features(_corr('load', 'temp', 'temp < 10') + ' AS corr_cold', 28, 10, (1, 4, 96))} FROM lagged GROUP BY customer_id HAVING count(*) >= 100",
     "ac_features": _L + f""", n AS (SELECT customer_id, count(*) FILTER (rad > 50) AS n_day_rows FROM rows GROUP BY 1), part AS (SELECT * FROM rows JOIN n USING (customer_id) WHERE n_day_rows < 100 OR rad > 50), {_LAGGED},
-m AS (SELECT customer_id, first(n_day_rows) AS n_day_rows, count(*) AS n_rows, {_features('lagged', 25, 10)}, round({_mean(_S)} / (abs(avg(load)) + 1e-8), 6) AS summer_ratio, round({_mean('temp > 25')} / (abs(avg(load)) + 1e-8), 6) AS hot_ratio, round({_mean(_S)} / ({_mean(_SP)} + 1e-8), 6) AS summer_vs_spring FROM lagged GROUP BY 1),
+m AS (SELECT customer_id, first(n_day_rows) AS n_day_rows, count(*) AS n_rows, first(n_day_rows) >= 100 AS used_daytime_only, {_features(_corr('load', 'rad') + ' AS corr_rad_all', 25, 10, (4, 96))}, round({_mean('hour(ts) BETWEEN 14 AND 18')} / (abs(avg(load)) + 1e-8), 6) AS afternoon_peak_ratio, round({_mean(_S)} / (abs(avg(load)) + 1e-8), 6) AS summer_ratio, round({_mean('temp > 25')} / (abs(avg(load)) + 1e-8), 6) AS hot_ratio, round({_mean(_S)} / ({_mean(_SP)} + 1e-8), 6) AS summer_vs_spring FROM lagged GROUP BY 1),
 d AS (SELECT customer_id, {_BAL.format(_mean('rad > 50'), _mean('rad <= 50'))} AS daytime_share FROM rows WHERE rad IS NOT NULL GROUP BY 1),
-h AS (SELECT customer_id, CAST(h AS INTEGER) AS peak_hour FROM (SELECT customer_id, hour(ts) AS h, round(avg(load), 9) AS m FROM part GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY m DESC, h) = 1)
+h AS (SELECT customer_id, CAST(h AS INTEGER) AS peak_hour FROM (SELECT customer_id, hour(ts) AS h, round(avg(load), 9) AS m FROM part WHERE month(ts) IN (6, 7, 8) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY m DESC, h) = 1)
 SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)""",
-    "user_profile_ac": _L + _PROFILE + f" SELECT customer_id, {_PCOLS} FROM p",
-    "user_profile_hp": _L + _PROFILE + f" SELECT customer_id, round(q05, 6) AS q05, {_PCOLS}, round(hp_likeness, 6) AS hp_likeness, CASE WHEN hp_likeness >= 0.6 THEN 'likely' WHEN hp_likeness <= 0.35 THEN 'unlikely' ELSE 'unsure' END AS hp_class FROM s",
-    "disagg_features_ac": _disagg("CASE WHEN temp IS NOT NULL THEN round(greatest(temp - 18, 0), 9) END AS cdd, CASE WHEN month(ts) IN (6, 7, 8) THEN 1 ELSE 0 END AS is_summer"),
-    "disagg_features_hp": _disagg(f"CASE WHEN temp IS NOT NULL THEN round(greatest(18 - temp, 0), 9) END AS hdd, {_NIGHT} AS is_night, CASE WHEN temp IS NOT NULL THEN round(greatest(18 - temp, 0) * {_NIGHT}, 9) END AS hdd_night"),
+    "user_profile_ac": _L + _profile(50, 0.30) + f" SELECT customer_id, {_PCOLS} FROM p",
+    "user_profile_hp": _L + _profile(20, 0.20) + f" SELECT customer_id, round(q05, 6) AS q05, {_PCOLS}, round(hp_likeness, 6) AS hp_likeness, CASE WHEN hp_likeness >= 0.6 THEN 'scientific_like' WHEN hp_likeness <= 0.35 THEN 'dataport_like' ELSE 'uncertain' END AS hp_class FROM s",
+    "disagg_features_ac": _disagg(50, 0.30, f"round({_CDD}, 9) AS cdd_28, {_DAY} AS is_day, CASE WHEN month(ts) IN (6, 7, 8) THEN 1 ELSE 0 END AS is_summer, round({_CDD} * CASE WHEN hour(ts) BETWEEN 14 AND 17 THEN 1 ELSE 0 END, 9) AS cdd28_x_afternoon, round({_CDD} * {_DAY}, 9) AS cdd28_x_day"),
+    "disagg_features_hp": _disagg(20, 0.20, f"round({_HDD}, 9) AS hdd_18, {_NIGHT} AS is_night, round({_HDD} * {_NIGHT}, 9) AS hdd_x_night", ("q05",)),
     "curve_quality": _T + """, g AS (SELECT *, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY type, customer_id ORDER BY ts) AS gap FROM training),
 c AS (SELECT type, customer_id, count(*) AS n_rows, count(*) FILTER (month(ts) IN (12, 1, 2)) AS n_winter, count(*) FILTER (month(ts) IN (6, 7, 8)) AS n_summer, coalesce(max(gap), 0) / 86400 AS max_gap_days,
   count(*) / (floor((max(epoch(ts)) - min(epoch(ts))) / 900) + 1) AS coverage, min(ts) AS start, max(ts) AS "end" FROM g GROUP BY ALL)
 SELECT type, customer_id, n_rows, n_winter, n_summer, round(max_gap_days, 6) AS max_gap_days, round(coverage, 6) AS coverage, start, "end",
   CASE WHEN n_rows < 500 THEN 'too_few_rows' WHEN n_winter < 100 THEN 'too_few_winter_rows' WHEN n_summer < 100 THEN 'too_few_summer_rows' WHEN max_gap_days > 40 THEN 'gap_too_long' WHEN coverage < 0.001 THEN 'coverage_too_low' ELSE 'ok' END AS reason FROM c""",
-    "ac_label": _T + f""" SELECT *, coalesce(corr_all >= 0.2 AND corr_hot >= 0.2 AND summer_mean > 0.05, FALSE) AS has_ac FROM (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 25')} AS corr_hot, round(avg(value_kw_mean) FILTER (month(ts) IN (6, 7, 8)), 6) AS summer_mean FROM training WHERE type = 'AC' GROUP BY 1)""",
-    "hp_label": _T + f""" SELECT *, CASE WHEN greatest(abs(coalesce(corr_cold, 0)), abs(coalesce(corr_hot, 0))) < 0.1 THEN NULL WHEN abs(coalesce(corr_cold, 0)) >= abs(coalesce(corr_hot, 0)) THEN 'winter_hp' ELSE 'summer_hp' END AS hp_season
-FROM (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 25')} AS corr_hot, {_corr('value_kw_mean', 'temp', 'temp < 10')} AS corr_cold FROM training WHERE type = 'HP' GROUP BY 1)""",
-    "align_tot_ac": _T + """ SELECT t.customer_id, t.ts, round(t.value_kw_mean, 9) AS tot_kw, round(t.temp, 9) AS temp, round(a.value_kw_mean, 9) AS ac_kw, CASE WHEN a.value_kw_mean >= 0.05 THEN 1 ELSE 0 END AS ac_on, round(CASE WHEN t.value_kw_mean > 0 THEN least(a.value_kw_mean / t.value_kw_mean, 1) ELSE 0 END, 9) AS ac_ratio
-FROM training t JOIN training a ON t.customer_id = a.customer_id AND t.ts = a.ts AND t.type = 'TOT' AND a.type = 'AC'""",
+    "ac_label": _T + f""", a AS (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 25')} AS corr_hot, round(avg(value_kw_mean) FILTER (month(ts) IN (6, 7, 8)), 6) AS summer_mean FROM training WHERE type = 'AC' GROUP BY 1),
+l AS (SELECT a.*, CASE WHEN quality <> 'ok' THEN quality WHEN corr_all >= 0.2 THEN 'all_year_corr' WHEN corr_hot >= 0.2 THEN 'hot_check' WHEN summer_mean > 0.05 THEN 'summer_mean_positive' ELSE 'weak_ac_signal' END AS reason FROM a JOIN {_quality("AC", "type = 'AC'")} USING (customer_id))
+SELECT *, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l""",
+    "hp_label": _T + f", {_HP_LABEL} SELECT * FROM hp",
+    "align_tot_ac": _T + " " + _pairs("AC", 0.30, ""),
+    "align_tot_hp": _T + f", {_HP_LABEL} " + _pairs("HP", 0.20, " AND t.customer_id IN (SELECT customer_id FROM hp WHERE hp_season = 'winter_hp') AND t.customer_id NOT IN (SELECT customer_id FROM training WHERE type = 'TOT' GROUP BY 1 HAVING avg(CASE WHEN value_kw_mean < -0.1 THEN 1.0::DOUBLE ELSE 0 END) >= 0.03)"),
     "sample_weights": _T + ", n AS (SELECT customer_id, count(*) AS n FROM training WHERE type = 'TOT' GROUP BY 1) SELECT customer_id, n, round((SELECT sum(n) FROM n) / (SELECT count(*) FROM n)::DOUBLE / n, 6) AS sample_weight FROM n",
     "f_to_c": _L + ", t AS (SELECT customer_id, ts, CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN temp * 9 / 5 + 32 ELSE temp END AS temp FROM rows), x AS (SELECT *, max(temp) OVER (PARTITION BY customer_id) AS top FROM t) SELECT customer_id, ts, round(CASE WHEN top > 55 THEN (temp - 32) * 5 / 9 ELSE temp END, 6) AS temp FROM x",
     "appliance_manifest": _T + " SELECT * FROM (SELECT customer_id, bool_or(type = 'AC' AND value_kw_mean <> 0) AS has_ac, bool_or(type = 'HP' AND value_kw_mean <> 0) AS has_hp FROM training WHERE type <> 'TOT' GROUP BY 1) WHERE has_ac OR has_hp",

@@ -35,12 +35,13 @@ QUERIES = {
     "battery_summary": on_results(pf.battery_summary), "battery_overview": on_results(pf.battery_overview), "adoption_wilson": on_results(pf.adoption), "cooccurrence": on_results(pf.cooccurrence), "exclusive_pairs": on_results(pf.exclusive_pairs),
     "probability_hist": on_results(lambda r: pf.histogram(pf.long_flags(r), "prob", 0.0, 1.0, 30, ["appliance"])), "capacity_hist": on_results(pf.capacity_histogram), "battery_status_top": on_results(pf.status_breakdown), "battery_box": on_results(pf.box_statistics),
     "hp_mix": on_results(lambda r: r.groupBy("hp_type").agg(F.count("*").alias("n"))), "matched_days_hist": on_results(lambda r: pf.days_histogram(r, "n_matched_sunny_days")),
-    "hp_kde": on_results(lambda r: pf.density(r.where("has_hp").withColumn("kwh", F.col("ev_energy_mwh") * 1000), "kwh")), "high_low_profile": high_low_profile, "heatmap": heatmap,
+    "hp_kde": on_results(lambda r: pf.density(r.where("has_hp"), "hp_energy_kwh")), "high_low_profile": high_low_profile, "heatmap": heatmap,
 }
 
 _R = with_sql(A.RESULTS_SQL)
 _PV = ", pv AS (SELECT * FROM results WHERE has_pv AND pv_capacity_kwp IS NOT NULL)"
-_FENCE = _PV + """, sg AS (SELECT CASE WHEN count(*) OVER (PARTITION BY segment) < 30 THEN 'other' ELSE coalesce(segment, 'unknown') END AS segment, pv_capacity_kwp AS c FROM pv),
+_FENCE = _PV + """, sg0 AS (SELECT coalesce(segment, 'unknown') AS segment, pv_capacity_kwp AS c FROM pv WHERE pv_capacity_kwp > 0),
+sg AS (SELECT CASE WHEN count(*) OVER (PARTITION BY segment) < 30 THEN 'other' ELSE segment END AS segment, c FROM sg0),
 st AS (SELECT segment, count(*) AS n, avg(c) AS mean, quantile_cont(c, 0.5) AS median, quantile_cont(c, 0.25) AS q25, quantile_cont(c, 0.75) AS q75 FROM sg GROUP BY 1),
 fences AS (SELECT *, greatest(q25 - 2 * (q75 - q25), 0) AS low_fence, q75 + 2 * (q75 - q25) AS high_fence FROM st)"""
 _GROSS = ", y AS (SELECT customer_id, CASE WHEN pv_capacity_kwp > 0 THEN yearly_prod / (1 - least(greatest(coalesce(sc_share, 0), 0), 0.7::DOUBLE)) / pv_capacity_kwp END AS v FROM results WHERE has_pv), g AS (SELECT customer_id, v, CASE WHEN v IS NULL THEN 'no_data' WHEN v < 800 THEN 'too_low' WHEN v > 1200 THEN 'too_high' ELSE 'ok' END AS f FROM y)"
@@ -61,7 +62,7 @@ SQL = {
         capacity_low_independent=_Z.format(s="", o="-"), capacity_high_independent=_Z.format(s="", o="+"), mean_kwp="avg(pv_capacity_kwp)", median_kwp="quantile_cont(pv_capacity_kwp, 0.5)", q25_kwp="quantile_cont(pv_capacity_kwp, 0.25)", q75_kwp="quantile_cont(pv_capacity_kwp, 0.75)",
         sc_weighted="sum(pv_capacity_kwp * sc_share) FILTER (pv_capacity_kwp > 0) / sum(pv_capacity_kwp) FILTER (pv_capacity_kwp > 0 AND sc_share IS NOT NULL)", sc_weighted_nonzero="sum(pv_capacity_kwp * sc_share) FILTER (pv_capacity_kwp > 0 AND sc_share > 0) / sum(pv_capacity_kwp) FILTER (pv_capacity_kwp > 0 AND sc_share > 0)", yearly_prod="sum(yearly_prod)"),
     "segment_fences": _R + _FENCE + " SELECT segment, n, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("mean", "median", "q25", "q75", "low_fence", "high_fence")) + " FROM fences",
-    "capacity_flags": _R + _FENCE + " SELECT customer_id, segment, round(pv_capacity_kwp, 6) AS pv_capacity_kwp, CASE WHEN pv_capacity_kwp IS NULL THEN 'no_data' WHEN pv_capacity_kwp < low_fence THEN 'too_low' WHEN pv_capacity_kwp > high_fence THEN 'too_high' ELSE 'ok' END AS capacity_flag FROM results LEFT JOIN fences USING (segment) WHERE has_pv",
+    "capacity_flags": _R + _FENCE + ", rs AS (SELECT customer_id, pv_capacity_kwp, CASE WHEN coalesce(segment, 'unknown') IN (SELECT segment FROM fences) THEN coalesce(segment, 'unknown') ELSE 'other' END AS segment FROM results WHERE has_pv) SELECT customer_id, segment, round(pv_capacity_kwp, 6) AS pv_capacity_kwp, CASE WHEN pv_capacity_kwp IS NULL OR pv_capacity_kwp <= 0 THEN 'no_data' WHEN pv_capacity_kwp < low_fence THEN 'too_low' WHEN pv_capacity_kwp > high_fence THEN 'too_high' ELSE 'ok' END AS capacity_flag FROM rs LEFT JOIN fences USING (segment)",
     "yield_gross": _R + _GROSS + " SELECT customer_id, round(v, 6) AS yield_kwh_kwp, f AS yield_flag FROM g",
     "yield_export": _R + ", y AS (SELECT customer_id, CASE WHEN pv_capacity_kwp > 0 THEN yearly_prod / pv_capacity_kwp END AS v FROM results WHERE has_pv) SELECT customer_id, round(v, 6) AS yield_kwh_kwp, CASE WHEN v IS NULL THEN 'missing' WHEN v < 600 THEN 'low' WHEN v > 1400 THEN 'high' ELSE 'ok' END AS yield_check FROM y",
     "evaluate_agreement": _R + _GROSS + _AGREE + _metrics("agree", n="n", mean_ratio="mean_ratio", median_ratio="median_ratio", share_agreeing="share_agreeing", mean_yield="mean_yield", median_yield="median_yield", share_plausible="share_plausible"),
@@ -79,7 +80,7 @@ SQL = {
     "battery_box": _R + _BAT + ", e AS (SELECT CASE WHEN p THEN 'pv' ELSE 'no_pv' END AS segment, c FROM b WHERE d AND c IS NOT NULL UNION ALL SELECT 'all', c FROM b WHERE d AND c IS NOT NULL) SELECT segment, count(*) AS n, min(c) AS low, round(quantile_cont(c, 0.25), 6) AS q25, round(quantile_cont(c, 0.5), 6) AS median, round(quantile_cont(c, 0.75), 6) AS q75, max(c) AS high FROM e GROUP BY 1",
     "hp_mix": _R + " SELECT hp_type, count(*) AS n FROM results GROUP BY 1",
     "matched_days_hist": _R + _BAT + " SELECT d AS detected, n_matched_sunny_days, count(*) AS n FROM b GROUP BY ALL",
-    "hp_kde": _R + ", v AS (SELECT ev_energy_mwh * 1000 AS v FROM results WHERE has_hp), s AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM v), g AS (SELECT lo - 0.5::DOUBLE * (hi - lo) + 2 * (hi - lo) * i / 99 AS x, sd * pow(n, -0.2::DOUBLE) AS h FROM s, range(100) t(i)) SELECT round(x, 6) AS x, round(avg(exp(-0.5::DOUBLE * pow((x - v) / h, 2)) / (h * 2.5066282746310002::DOUBLE)), 6) AS density FROM g, v GROUP BY x",
+    "hp_kde": _R + ", v AS (SELECT hp_energy_kwh AS v FROM results WHERE has_hp AND hp_energy_kwh > 0), s AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM v), g AS (SELECT lo - 0.5::DOUBLE * (hi - lo) + 2 * (hi - lo) * i / 999 AS x, sd * pow(n, -0.2::DOUBLE) AS h FROM s, range(1000) t(i)) SELECT round(x, 6) AS x, round(avg(exp(-0.5::DOUBLE * pow((x - v) / h, 2)) / (h * 2.5066282746310002::DOUBLE)), 6) AS density FROM g, v GROUP BY x",
     "high_low_profile": with_sql(M, W, DAY_SQL) + " SELECT rad_bucket, CAST(hour(ts) AS INTEGER) AS hour, round(avg(conso_kwh * 4), 6) AS mean_kw FROM meter JOIN wday ON wday.date = CAST(ts AS DATE) WHERE rad_bucket IN ('high', 'low') GROUP BY ALL",
     "heatmap": with_sql(M) + " SELECT strftime(ts, '%Y-%m') AS month, " + ", ".join(f"round(avg(conso_kwh) FILTER (hour(ts) // 4 = {k}), 9) AS p{k}" for k in range(6)) + " FROM meter GROUP BY 1",
 }

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a batch that goes to a Python worker; batches of long texts stay small.
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -24,6 +25,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: what several branches read is computed once, and a lost executor loses nothing."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Adds the package, zipped, to the application's Python files, once for each application, and bounds the
     bytes of Arrow batches."""

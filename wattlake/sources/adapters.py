@@ -62,6 +62,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 5 == 0).alias("has_ac"), ((k % 89) / 88).alias("prob_ac"), (k % 3 != 0).alias("has_hp"), ((k % 83) / 82).alias("prob_hp"),
         F.when(k % 3 == 0, "no_hp").when(k % 3 == 1, "winter_hp").otherwise("summer_hp").alias("hp_type"),
         (k % 7 == 0).alias("has_ev"), ((k % 79) / 78).alias("prob_ev"), ((k % 31) / 10).alias("ev_energy_mwh"),
+        F.when(k % 3 == 1, 150.0 * (k % 37)).alias("hp_energy_kwh"),
     )
 
 
@@ -92,7 +93,8 @@ results AS (SELECT CAST(k AS VARCHAR) AS customer_id, c_mktsegment AS segment, p
     CAST(k % 40 AS INTEGER) AS n_matched_sunny_days, CAST(k % 60 AS INTEGER) AS n_dark_days,
     k % 5 = 0 AS has_ac, (k % 89) / 88::DOUBLE AS prob_ac, k % 3 <> 0 AS has_hp, (k % 83) / 82::DOUBLE AS prob_hp,
     CASE k % 3 WHEN 0 THEN 'no_hp' WHEN 1 THEN 'winter_hp' ELSE 'summer_hp' END AS hp_type,
-    k % 7 = 0 AS has_ev, (k % 79) / 78::DOUBLE AS prob_ev, (k % 31) / 10::DOUBLE AS ev_energy_mwh
+    k % 7 = 0 AS has_ev, (k % 79) / 78::DOUBLE AS prob_ev, (k % 31) / 10::DOUBLE AS ev_energy_mwh,
+    CASE WHEN k % 3 = 1 THEN 150.0::DOUBLE * (k % 37) END AS hp_energy_kwh
   FROM (SELECT c_custkey AS k, c_mktsegment, c_custkey % 2 = 0 AS pv, CASE WHEN c_custkey % 2 = 0 THEN abs(c_acctbal) / 500 END AS cap FROM customer))"""
 #: Meter rows with the last weather row at most an hour older.
 ALIGNED_SQL = """

@@ -24,8 +24,7 @@ def resume(rows: DataFrame, path: str, compute: Callable[[DataFrame], DataFrame]
     runs = 0 if done is None else (done.agg(F.max("run")).first()[0] or 0)
     compute(pending).withColumn("run", F.lit(runs + 1)).write.mode("append").parquet(path)
     last = Window.partitionBy(key).orderBy(F.desc("run"))
-    out = spark.read.parquet(path).withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n", "run")
-    return out.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+    return spark.read.parquet(path).withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n", "run")
 
 
 def stream_daily(spark: SparkSession, path: str, delay: str = "2 hours") -> DataFrame:
