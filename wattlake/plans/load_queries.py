@@ -9,6 +9,7 @@ from ..operators import battery, ev, pv
 from ..sources import adapters as A
 from .pipeline import join_scalar as pipeline_join
 from .series_queries import AL, EV, M, W, _STEP, aligned, rounded, with_sql
+from .shipping import materialised
 
 
 def rows(spark, d):
@@ -100,7 +101,7 @@ def appliance_manifest(spark, d):
 def pv_facts(spark, d):
     m, w = A.meter(spark, d), A.weather(spark)
     facts = pv.detect_pv(m, w).select("customer_id", "has_pv", "prob_pv").join(pv.pv_capacity_point(m, w).select("customer_id", F.when(F.col("hybrid_kwp") >= 0.1, F.col("hybrid_kwp")).alias("pv_capacity_kwp")), "customer_id", "left")
-    return facts.persist()  # one row a customer
+    return materialised(facts)  # one row a customer
 
 
 def battery_detect(spark, d):
