@@ -225,6 +225,9 @@ def test_lm_base_is_exact_and_prices_are_probabilities(spark, edge, empty):
         assert math.isclose(r.base_score, want, rel_tol=1e-9) and r.n_tokens == len(tokens[r.doc_id]) and r.n_known == sum(counts[t] > 0 for t in tokens[r.doc_id]) and r.train_tokens == total
         assert r.score < 0
     assert len(rows) == len(EDGE) and lm_scoring.scores(empty).count() == 0
+    # neither the order of rows nor their partitions matter
+    again = lm_scoring.scores(edge.orderBy(F.desc("doc_id")).repartition(5)).collect()
+    assert sorted((r.doc_id, r.score) for r in again) == sorted((r.doc_id, r.score) for r in rows)
     tree = lm_scoring.huffman(np.ones(lm_scoring.SYMBOLS))
     assert math.isclose(sum(2.0 ** -int(n) for n in tree[0]), 1.0)
 

@@ -6,7 +6,7 @@ Hashed-context predictors (the last ORDERS symbols, and the beginning of the cur
 often each bit followed in each hashed slot, over all training texts. Their stretched probabilities are
 added with weights gated by the depth in the tree and the place in the word; weights are learnt online,
 block after block, on a fold of the training texts that the counts leave out (partitions' weights are
-averaged by bits), and then the fold's own counts join. While a text is scored, weights go on adapting
+averaged by bits, parts and their order follow from the rows), and then the fold's own counts join. While a text is scored, weights go on adapting
 to it after every BLOCK symbols, from anew in every SEGMENT, and a table of how mixed probabilities came true on the
 fold refines the result. Every decision is priced before it is learnt from, so the prices of a text
 are a probability of it.
@@ -37,6 +37,10 @@ WORD_REACH = 12
 MODELS = len(ORDERS) + 1
 #: Slots of each predictor; one byte each is broadcast.
 SLOT_BITS = 21
+#: Rows of the weights' fold a part on average, and the most parts; a part's weights are learnt in the order of ids.
+PART_ROWS, PARTS = 512, 1024
+#: How many neighbouring slots the decisions of a symbol share in one context.
+NEAR = 64
 SEGMENT, BLOCK = 2048, 64
 DEPTHS, PLACES = 8, 8
 BUCKETS = 33
@@ -77,7 +81,7 @@ def sequences(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def contexts(seq: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """One 32-bit hash a symbol for each predictor, of what stands before it in its text."""
+    """The slot of each symbol for each predictor, by a hash of what stands before it in its text."""
     n = len(seq)
     inside = np.arange(n, dtype=np.int64) - np.repeat(at[:-1], np.diff(at))
     out = []
@@ -90,13 +94,15 @@ def contexts(seq: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.ndar
             prior[beyond] = END + 1
             h = (h ^ prior) * np.uint32(0x01000193)
             h ^= h >> np.uint32(15)
-        out.append(h * np.uint32(0x85EBCA6B))
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        out.append((h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS))
     return out
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Code lengths of all symbols, where each code begins in the flat tables of all decisions, and of
-    each decision its inner node (hashed), its bit and its gate by depth."""
+    each decision what its inner node adds to a slot, its bit and its gate by depth."""
     heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
     heapq.heapify(heap)
     up: dict[int, tuple[int, int]] = {}
@@ -115,7 +121,8 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, ...]:
         paths.append(path[::-1])
     length = np.array([len(p) for p in paths])
     begin = np.cumsum(length) - length
-    node = np.array([x for p in paths for x, _ in p], np.uint32) * np.uint32(0x9E3779B1)
+    # the nodes nearest to the root, numbered last, get slots of their own
+    node = np.array([x % NEAR for p in paths for x, _ in p], np.uint32)
     bit = np.array([x for p in paths for _, x in p], np.uint32)
     gate = np.array([min(d, DEPTHS - 1) * PLACES for p in paths for d in range(len(p))])
     return length, begin, node, bit, gate
@@ -128,8 +135,9 @@ def decisions(tree, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return n, np.repeat(begin[symbols] - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def slots(h: np.ndarray, node: np.ndarray) -> np.ndarray:
-    return ((h + node) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS)
+def slots(symbol_slot: np.ndarray, n: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The slot of each decision, NEAR neighbouring ones for all decisions of a symbol, which memory reads at once."""
+    return np.repeat(symbol_slot, n) ^ node
 
 
 def bit_counts(docs: DataFrame, tree) -> np.ndarray:
@@ -142,7 +150,7 @@ def bit_counts(docs: DataFrame, tree) -> np.ndarray:
             n, code = decisions(tree, seq)
             node, bit = tree[2][code], tree[3][code]
             for m, h in enumerate(contexts(seq, place, at)):
-                total[m * size : (m + 1) * size] += np.bincount((slots(np.repeat(h, n), node) << np.uint32(1)) | bit, minlength=size).astype(np.uint32)
+                np.add.at(total[m * size : (m + 1) * size], (slots(h, n, node) << np.uint32(1)) | bit, np.uint32(1))
 
     return summed_table(docs.select("text"), MODELS * size, update, np.uint32).reshape(MODELS, 1 << SLOT_BITS, 2)
 
@@ -189,11 +197,15 @@ class Mixer:
             n, code = decisions(self.tree, seq[i])
             node, b = self.tree[2][code], self.tree[3][code].astype(np.float32)
             gate = np.repeat(spot[i], n) + self.tree[4][code]
-            at_lane = np.repeat(lane[i], n)
-            st = [self.table[m][slots(np.repeat(hashes[m][i], n), node)] * np.float32(1 / 16) for m in range(MODELS)]
+            # a block's symbols come lane after lane
+            first = np.flatnonzero(np.diff(lane[i], prepend=-1))
+            there = lane[i[first]]
+            begin = (np.cumsum(n) - n)[first]
+            width = np.diff(begin, append=len(code))
+            st = [self.table[m][slots(hashes[m][i], n, node)] * np.float32(1 / 16) for m in range(MODELS)]
             dot = self.weights[MODELS][gate]
             for m in range(MODELS):
-                dot += st[m] * (self.weights[m][gate] + own[m][at_lane])
+                dot += st[m] * (self.weights[m][gate] if learn else self.weights[m][gate] + np.repeat(own[m][there], width))
             np.clip(dot, -11, 11, out=dot)
             p = 1 / (1 + np.exp(-dot))
             err = b - p
@@ -208,10 +220,10 @@ class Mixer:
                 self.came[:, 1] += np.bincount(cell, b, len(self.came))
                 continue
             q = p if sse is None else np.float32(0.5) * (p + sse[cell])
-            price += np.bincount(at_lane, np.log(np.where(b > 0, q, 1 - q)), lanes)
+            price[there] += np.add.reduceat(np.log(np.where(b > 0, q, 1 - q)), begin, dtype=np.float64)
             err *= np.float32(RATE)
             for m in range(MODELS):
-                own[m] += np.bincount(at_lane, err * st[m], lanes).astype(np.float32)
+                own[m][there] += np.add.reduceat(err * st[m], begin)
         return np.bincount(np.repeat(np.arange(len(size)), parts), price, len(size))
 
     @staticmethod
@@ -220,8 +232,9 @@ class Mixer:
         return np.tile(mid, DEPTHS * PLACES)
 
 
-def learnt(docs: DataFrame, tree, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gated weights learnt online on docs, and how mixed probabilities came true."""
+def learnt(docs: DataFrame, parts: int, tree, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gated weights learnt online on docs in `parts` parts, and how mixed probabilities came true. Parts and their order
+    follow from the rows alone, not from how many tasks read them."""
     start = np.full((MODELS + 1, DEPTHS * PLACES), 0.6, np.float32)
     start[MODELS] = 0
     shared = docs.sparkSession.sparkContext.broadcast((tree, table))
@@ -233,9 +246,10 @@ def learnt(docs: DataFrame, tree, table: np.ndarray) -> tuple[np.ndarray, np.nda
                 mixer.prices(p.column("text"), True)
         yield pa.RecordBatch.from_pydict({"bits": [mixer.bits], "weights": [mixer.weights.tobytes()], "came": [mixer.came.tobytes()]})
 
-    tasks = docs.sparkSession.sparkContext.defaultParallelism
+    mark = F.xxhash64("doc_id", "text")
+    rows = docs.select("doc_id", "text", mark.alias("mark")).repartition(parts, "mark").sortWithinPartitions("doc_id", "mark").select("text")
     # a row of fixed size from each of a bounded number of tasks
-    got = docs.select("text").coalesce(tasks).mapInArrow(train, "bits long, weights binary, came binary").toPandas()
+    got = rows.mapInArrow(train, "bits long, weights binary, came binary").toPandas()
     bits = max(1, got["bits"].sum())
     weights = sum((np.frombuffer(w, np.float32).reshape(start.shape) * (n / bits) for w, n in zip(got["weights"], got["bits"])), np.zeros(start.shape, np.float32))
     came = sum((np.frombuffer(c).reshape(-1, 2) for c in got["came"]), np.zeros((DEPTHS * PLACES * BUCKETS, 2)))
@@ -260,7 +274,7 @@ def scores(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("fold", fold(F.col("doc_id")))
     train = docs.where(F.col("fold") != HELD_OUT)
     counts = written(token_counts(train))
-    ends = train.count()
+    ends, fold_rows = train.agg(F.count("*"), F.count_if(F.col("fold") == WEIGHT_FOLD)).first()
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, kinds = total + ends, kinds + (ends > 0)
     floor_ = np.log10(total + kinds + 1)
@@ -270,12 +284,13 @@ def scores(docs: DataFrame) -> DataFrame:
 
     def symbols(sums, batch):
         for p in pieces(batch, "text"):
-            sums[:SYMBOLS] += np.bincount(sequences(p.column("text"))[0], minlength=SYMBOLS)
+            sums[:END] += np.bincount(LOWER[utf8(p.column("text"))[0]], minlength=END)
+            sums[END] += p.num_rows
 
     tree = huffman(summed_table(train.select("text"), 320, symbols)[:SYMBOLS])
     counted = bit_counts(train.where(F.col("fold") != WEIGHT_FOLD), tree)
     fold_docs = train.where(F.col("fold") == WEIGHT_FOLD)
-    weights, came = learnt(fold_docs, tree, stretched(counted))
+    weights, came = learnt(fold_docs, min(max(fold_rows // PART_ROWS, 1), PARTS), tree, stretched(counted))
     counted += bit_counts(fold_docs, tree)
     model = spark.sparkContext.broadcast((tree, stretched(counted), weights, came))
     del counted
