@@ -74,6 +74,7 @@ def rows(spark, sf):
 def test_alignment_matches_brute_force(spark, rows, most, monkeypatch):
     """By the table of frequent pairs, by the join, and by both."""
     monkeypatch.setattr(ta, "SLICE", 20_000)
+    monkeypatch.setattr(ta, "STEP", 3_000)
     docs = ta.written(ta.aligned(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
     got = ta.with_counts(docs, ta.written(ta.pair_counts(docs)), most)
     assert sorted(got.columns) == sorted(COLUMNS)

@@ -10,8 +10,8 @@ HOT_PAIRS, a fixed size) go to the tasks as a table; all others meet their count
 both ways a pair takes changes no result, and pairs that nearly every document holds are never shuffled.
 
 Texts are cut before blanks that stand alone between two visible characters, where neither tokenizer can
-join what is left and right; each distinct chunk is encoded once a slice. A is encoded by its own vocabulary
-as merge ranks (tiktoken) where its merges make ids in rising order, else by its own library. In each slice
+join what is left and right; each distinct chunk is encoded once a slice, many in a row. A is encoded by its own
+vocabulary as merge ranks (tiktoken) where its merges make ids in rising order, else by its own library. In each slice
 the text of middle length is encoded whole by the files' own libraries; a difference fails the query.
 
 Special tokens' strings in a text are plain text. Texts that are null or empty, or whose joined bytes on
@@ -26,6 +26,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,10 @@ from ._text import pieces, utf8
 from .sentencepiece_codec import MARKER, MODEL, file_bytes, parse, piece_bytes
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
-#: Bytes of text that are aligned at once, at least one text.
-SLICE = 1 << 20
-#: Chunks whose ids a task remembers between slices.
-REMEMBERED = 1 << 16
+#: Bytes of text that are encoded at once, and aligned at once; at least one text.
+SLICE, STEP = 4 << 20, 1 << 20
+#: Bytes of distinct chunks that are encoded in a row.
+RUN = 1 << 11
 #: Id pairs of links that are built at once.
 PAIRS = 1 << 20
 #: Rows of the table of frequent pairs that goes to the tasks.
@@ -58,12 +59,12 @@ def byte_letters() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of chunks (each starts with a blank), ids of whole texts, bytes of ids."""
+    """One tokenizer: ids of texts that begin with a blank, ids of whole texts by the file's own library, bytes of ids."""
 
     size: np.ndarray
     table: list[bytes]
 
-    def chunks(self, chunks: list[bytes]) -> list[list[int]]:
+    def encode(self, texts: list[bytes]) -> list[list[int]]:
         raise NotImplementedError
 
     def whole(self, text: str) -> list[int]:
@@ -98,8 +99,8 @@ class ByteSide(Side):
             ranks = {self.table[i]: i for p, i in vocabulary.items() if p not in special}
             self.ranks = tiktoken.Encoding("side", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
-    def chunks(self, chunks):
-        texts = [x.decode() for x in chunks]
+    def encode(self, texts):
+        texts = [x.decode() for x in texts]
         if self.ranks:
             return [self.ranks.encode_ordinary(x) for x in texts]
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,91 +121,124 @@ class PieceSide(Side):
         self.cut = m["dummy_prefix"] and not m["trim_spaces"] and not m["charsmap"] and not any(MARKER in p.lstrip(MARKER) for p, _, _ in m["pieces"])
         self.blank = self.model.piece_to_id(MARKER)
 
-    def chunks(self, chunks):
+    def encode(self, texts):
         # the model puts the first blank back; of an empty text it makes nothing
-        found = self.model.encode([x[1:].decode() for x in chunks], num_threads=1)
-        return [[self.blank] if x == b" " else ids for x, ids in zip(chunks, found)]
+        found = self.model.encode([x[1:].decode() for x in texts], num_threads=1)
+        return [[self.blank] if x == b" " else ids for x, ids in zip(texts, found)]
 
     def whole(self, text):
         return self.model.encode(text)
 
 
+def _ends_seen(last, lead):
+    """Whether a character with this last byte, and this byte before it, is surely no white space; three or four bytes aren't told."""
+    return ((last > 0x20) & (last < 0x7F)) | ((last >= 0x80) & (lead >= 0xC3) & (lead <= 0xDF))
+
+
+def _starts_seen(byte):
+    return ((byte > 0x20) & (byte < 0x7F)) | ((byte >= 0xC3) & ~np.isin(byte, [0xE1, 0xE2, 0xE3]))
+
+
 def cuts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where chunks start in bytes of texts that each begin with a blank at `first`: there, and before
     blanks between two visible characters. After characters of three or four bytes, and before those that may be
     white space, nothing is cut."""
     at = np.flatnonzero(data == 0x20)
     at = at[(at > 1) & (at + 1 < len(data))]
-    before, lead, after = data[at - 1], data[at - 2], data[at + 1]
-    seen = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (lead >= 0xC3) & (lead <= 0xDF))
-    starts = ((after > 0x20) & (after < 0x7F)) | ((after >= 0xC3) & ~np.isin(after, [0xE1, 0xE2, 0xE3]))
-    return np.union1d(first, at[seen & starts])
-
-
-class Encoder:
-    """Encodes slices of texts chunk by chunk; remembers the chunks it met lately."""
-
-    def __init__(self, a: ByteSide, b: PieceSide):
-        self.a, self.b = a, b
-        self.known: dict[bytes, tuple[list[int], list[int], bool]] = {}
-
-    def learn(self, chunks: list[bytes]) -> list:
-        new = [x for x in chunks if x not in self.known]
-        found = {}
-        for x, a, b in zip(new, self.a.chunks(new), self.b.chunks(new)):
-            found[x] = a, b, self.a.joined(a) == x == self.b.joined(b)
-        out = [self.known.get(x) or found[x] for x in chunks]
-        self.known |= found
-        if len(self.known) > REMEMBERED:
-            self.known = dict(list(found.items())[:REMEMBERED])
-        return out
-
-    def slice(self, column):
-        """For a string column: a's and b's ids, and the n + 1 offsets of rows in both; rows without tokens have none."""
-        raw, offsets = utf8(column)
-        lens = np.diff(offsets)
-        rows = np.flatnonzero(lens)
-        n = len(column)
-        if not len(rows):
-            return np.zeros(0, np.int64), np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-        first = offsets[rows] + np.arange(len(rows))
-        data = np.insert(raw, offsets[rows], 0x20)
-        starts = cuts(data, first) if self.b.cut else first
-        ends = np.append(starts[1:], len(data))
-        whole = data.tobytes()
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, ends[-1]).astype(np.int64)), pa.py_buffer(data)])
-        coded = words.dictionary_encode()
-        at = coded.indices.to_numpy()
-        learnt = self.learn(coded.dictionary.to_pylist())
-        row_of = np.repeat(np.arange(len(rows)), np.diff(np.append(np.searchsorted(starts, first), len(starts))))
-        bad = ~np.array([x[2] for x in learnt])[at]
-        fit = np.ones(len(rows), bool)
-        for i in np.unique(row_of[bad]):
-            # a chunk's bytes differ: the whole text decides
-            mine = at[row_of == i]
-            text = whole[first[i] : first[i] + lens[rows[i]] + 1]
-            fit[i] = all(side.joined([t for k in mine for t in learnt[k][j]]) == text for j, side in enumerate((self.a, self.b)))
-        at, row_of = at[fit[row_of]], row_of[fit[row_of]]
-        self.probe(column, rows[fit], learnt, at, row_of, np.flatnonzero(fit), lens)
-        out = []
-        for j in (0, 1):
-            count = np.array([len(x[j]) for x in learnt], np.int64)
-            flat = np.array([t for x in learnt for t in x[j]], np.int64)
-            base = np.cumsum(count) - count
-            n_of = count[at]
-            ids = flat[np.repeat(base[at] - (np.cumsum(n_of) - n_of), n_of) + np.arange(n_of.sum())]
-            per_row = np.bincount(rows[row_of], n_of, n).astype(np.int64)
-            out += [ids, np.concatenate([[0], np.cumsum(per_row)])]
-        return out
-
-    def probe(self, column, rows, learnt, at, row_of, kept, lens) -> None:
-        if len(rows):
-            i = int(np.argsort(lens[rows], kind="stable")[len(rows) // 2])
-            text = column[int(rows[i])].as_py()
-            mine = at[row_of == kept[i]]
-            for j, side in enumerate((self.a, self.b)):
-                if [t for k in mine for t in learnt[k][j]] != side.whole(text):
-                    raise ValueError(f"ids of the chunks differ from those of the whole text for {text[:200]!r}")
+    start = np.zeros(len(data), bool)
+    start[at[_ends_seen(data[at - 1], data[at - 2]) & _starts_seen(data[at + 1])]] = True
+    start[first] = True
+    return np.flatnonzero(start)
+
+
+class Coded:
+    """Ids of distinct chunks: for each side flat ids, each chunk's first place and number of ids in them; fit: whether
+    both sides' bytes are the chunk's."""
+
+    def __init__(self, sides: tuple[Side, Side], words: pa.Array, cut: bool):
+        chunks = words.to_pylist()
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        lens = np.diff(at)
+        # chunks that may stand in a row: both ends are places where texts are cut
+        plain = (lens > 1) & cut
+        k = np.flatnonzero(plain)
+        plain[k] = _starts_seen(data[at[k] + 1]) & _ends_seen(data[at[k + 1] - 1], data[at[k + 1] - 2])
+        k = np.flatnonzero(plain)
+        done = np.cumsum(lens[k])
+        runs = np.split(k, np.flatnonzero(np.diff(done // RUN)) + 1) if len(k) else []
+        texts = [b"".join([chunks[i] for i in run.tolist()]) for run in runs]
+        found = [side.encode(texts) for side in sides]
+        fine = [all(side.joined(ids[r]) == text for side, ids in zip(sides, found)) for r, text in enumerate(texts)]
+        rest = [np.flatnonzero(~plain)]
+        inside: list[np.ndarray] = []
+        for r, run in enumerate(runs):
+            (inside if fine[r] else rest).append(run)
+        inside = np.concatenate([np.zeros(0, np.int64), *inside])
+        rest = np.concatenate(rest)
+        ends = np.cumsum(lens[inside])
+        alone = [side.encode([chunks[i] for i in rest.tolist()]) for side in sides]
+        self.fit = np.ones(len(chunks), bool)
+        self.fit[rest] = [all(side.joined(ids[j]) == chunks[i] for side, ids in zip(sides, alone)) for j, i in enumerate(rest.tolist())]
+        self.flat, self.base, self.count = [], [], []
+        for side, ids, own in zip(sides, found, alone):
+            flat = np.array([t for r, x in enumerate(ids) if fine[r] for t in x], np.int64)
+            token_ends = np.cumsum(side.size[flat])
+            to = np.searchsorted(token_ends, ends)
+            if len(ends) and not (token_ends[to] == ends).all():
+                raise ValueError("a token reaches over a place where texts are cut")
+            base, count = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+            count[inside] = np.diff(np.concatenate([[0], to + 1]))
+            base[inside] = to + 1 - count[inside]
+            n = np.array([len(x) for x in own], np.int64)
+            count[rest] = n
+            base[rest] = len(flat) + np.cumsum(n) - n
+            self.flat.append(np.concatenate([flat, np.array([t for x in own for t in x], np.int64)]))
+            self.base.append(base)
+            self.count.append(count)
+
+    def ids(self, side: int, chunks: np.ndarray) -> np.ndarray:
+        """The ids of chunks in a row."""
+        n = self.count[side][chunks]
+        shift = self.base[side][chunks] - (np.cumsum(n) - n)
+        return self.flat[side][np.repeat(shift, n) + np.arange(n.sum())]
+
+
+def encoded(sides: tuple[ByteSide, PieceSide], column):
+    """For a string column: a's ids, the n + 1 offsets of rows in them, b's ids, their offsets. Rows without tokens have none."""
+    raw, offsets = utf8(column)
+    lens = np.diff(offsets)
+    rows = np.flatnonzero(lens)
+    n = len(column)
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
+    first = offsets[rows] + np.arange(len(rows))
+    data = np.insert(raw, offsets[rows], 0x20)
+    starts = cuts(data, first) if sides[1].cut else first
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)])
+    distinct = words.dictionary_encode()
+    at = distinct.indices.to_numpy()
+    coded = Coded(sides, distinct.dictionary, sides[1].cut)
+    from_ = np.append(np.searchsorted(starts, first), len(starts))
+    row_of = np.repeat(np.arange(len(rows)), np.diff(from_))
+    fit = np.ones(len(rows), bool)
+    for i in sorted(set(row_of[~coded.fit[at]].tolist())):
+        # a chunk's bytes differ: the whole text decides
+        mine, text = at[from_[i] : from_[i + 1]], data[first[i] : first[i] + lens[rows[i]] + 1].tobytes()
+        fit[i] = all(side.joined(coded.ids(j, mine).tolist()) == text for j, side in enumerate(sides))
+    kept = np.flatnonzero(fit)
+    if len(kept):
+        i = int(kept[np.argsort(lens[rows[kept]], kind="stable")[len(kept) // 2]])
+        text, mine = column[int(rows[i])].as_py(), at[from_[i] : from_[i + 1]]
+        for j, side in enumerate(sides):
+            if coded.ids(j, mine).tolist() != side.whole(text):
+                raise ValueError(f"ids of the chunks differ from those of the whole text for {text[:200]!r}")
+    at, row_of = at[fit[row_of]], row_of[fit[row_of]]
+    out = []
+    for j in (0, 1):
+        per_row = np.bincount(rows[row_of], coded.count[j][at], n).astype(np.int64)
+        out += [coded.ids(j, at), np.concatenate([[0], np.cumsum(per_row)])]
+    return out
 
 
 def overlaps(a_at, b_at, a_size, b_size) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
@@ -222,47 +256,55 @@ def overlaps(a_at, b_at, a_size, b_size) -> tuple[pd.DataFrame, pd.DataFrame, pd
 
 def groups(a: pd.DataFrame, b: pd.DataFrame, both: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The group of every A and B token, numbered through the slice, and the row of each group."""
-    ends = np.unique(both["a_end"].to_numpy()[both["a_end"].to_numpy() == both["b_end"].to_numpy()])
-    of_a, of_b = (np.searchsorted(ends, x["start"].to_numpy(), "right") for x in (a, b))
-    row = np.zeros(len(ends), np.int64)
-    row[of_a] = a["row"].to_numpy()
-    return of_a, of_b, row
+    closes = np.zeros(len(a), bool)
+    closes[both["a"].to_numpy()[both["a_end"].to_numpy() == both["b_end"].to_numpy()]] = True
+    ends = a["a_end"].to_numpy()[closes]
+    of_a = np.cumsum(closes) - closes
+    of_b = np.searchsorted(ends, b["start"].to_numpy(), "right")
+    return of_a, of_b, a["row"].to_numpy()[closes]
 
 
-def group_texts(ids_a, of_a, ids_b, of_b, row, n: int) -> list[str]:
+@lru_cache(1)
+def _decimals(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """ASCII digits of 0 to most from the left, with room for a mark, and their numbers of digits."""
+    text = [str(i) for i in range(most + 1)]
+    wide = len(text[-1]) + 1
+    return np.frombuffer("".join([x.ljust(wide) for x in text]).encode(), np.uint8).reshape(-1, wide), np.array([len(x) for x in text])
+
+
+def group_texts(ids_a, of_a, ids_b, of_b, row, n: int, decimals) -> list[str]:
     """For each of n rows the SHA-256 of its groups, written as `a1,a2|b1;a3|b2`; '' without tokens."""
-    side = np.concatenate([np.zeros(len(of_a), np.int64), np.ones(len(of_b), np.int64)])
-    group = np.concatenate([of_a, of_b])
-    order = np.argsort(2 * group + side, kind="stable")
-    ids, group, side = np.concatenate([ids_a, ids_b])[order], group[order], side[order]
-    if not len(ids):
+    if not len(ids_a):
         return [""] * n
-    last = np.append((group[1:] != group[:-1]) | (side[1:] != side[:-1]), True)
-    mark = np.where(~last, ord(","), np.where(side == 0, ord("|"), ord(";"))).astype(np.uint8)
-    wide = len(str(int(ids.max())))
-    digits = np.empty((len(ids), wide + 1), np.uint8)
-    rest = ids.copy()
-    for k in range(wide - 1, -1, -1):
-        digits[:, k] = rest % 10 + 48
-        rest //= 10
-    digits[:, wide] = mark
-    shown = np.arange(wide + 1)[None, :] >= (wide - np.maximum(1, np.searchsorted(10 ** np.arange(1, wide + 1), ids, "right") + 1))[:, None]
-    text = digits[shown].tobytes()
-    size = np.bincount(row[group], shown.sum(axis=1), n).astype(np.int64)
-    end = np.cumsum(size)
+    n_a, n_b = np.bincount(of_a, minlength=len(row)), np.bincount(of_b, minlength=len(row))
+    before_a, before_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    place_a, place_b = np.arange(len(of_a)) + before_b[of_a], np.arange(len(of_b)) + (before_a + n_a)[of_b]
+    ids, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    ids[place_a], ids[place_b] = ids_a, ids_b
+    last_b = before_a + n_a + before_b + n_b - 1
+    mark[last_b - n_b], mark[last_b] = ord("|"), ord(";")
+    digits, size = decimals[0][ids], decimals[1][ids]
+    digits[np.arange(len(ids)), size] = mark
+    text = digits[np.arange(digits.shape[1])[None, :] <= size[:, None]].tobytes()
+    ends = np.cumsum(size + 1)
+    to = np.concatenate([[0], ends[last_b]])[np.searchsorted(row, np.arange(n + 1))].tolist()
     # the last mark of a row isn't part of its text
-    return [hashlib.sha256(text[e - s : e - 1]).hexdigest() if s else "" for s, e in zip(size.tolist(), end.tolist())]
+    return [hashlib.sha256(text[lo : hi - 1]).hexdigest() if hi > lo else "" for lo, hi in zip(to[:-1], to[1:])]
 
 
 def linked(ids_a, of_a, ids_b, of_b, row) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Row, A id, B id and multiplicity of links, in chunks of about PAIRS; a pair may come up in several groups of a row."""
+    # groups of one token on both sides are most of all
+    one = (np.bincount(of_a, minlength=len(row)) == 1) & (np.bincount(of_b, minlength=len(row)) == 1)
+    in_a, in_b = one[of_a], one[of_b]
+    yield row[of_a[in_a]], ids_a[in_a], ids_b[in_b], np.ones(in_a.sum(), np.int64)
 
     def counted(of, ids):
         key, n = np.unique(of << 32 | ids, return_counts=True)
         return key >> 32, key & 0xFFFFFFFF, n
 
-    ga, a, na = counted(of_a, ids_a)
-    gb, b, nb = counted(of_b, ids_b)
+    ga, a, na = counted(of_a[~in_a], ids_a[~in_a])
+    gb, b, nb = counted(of_b[~in_b], ids_b[~in_b])
     lo, hi = np.searchsorted(gb, ga, "left"), np.searchsorted(gb, ga, "right")
     size = hi - lo
     done = np.cumsum(size)
@@ -281,10 +323,12 @@ def distinct_links(ids_a, of_a, ids_b, of_b, row, n: int):
     """Offsets of n rows in their distinct id pairs (A id << 32 | B id), the pairs, their multiplicities."""
     found: list[tuple] = []
     kept = 0
+    # row, A id and B id in one key where they have room
+    narrow = max(ids_a.max(initial=0), ids_b.max(initial=0)) < 1 << 20 and n < 1 << 23
 
     def compact() -> tuple:
         rows, pair, weight = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ([], [], [])))
-        order = np.lexsort((pair, rows))
+        order = np.argsort(rows << 40 | pair >> 32 << 20 | pair & 0xFFFFFFFF) if narrow else np.lexsort((pair, rows))
         rows, pair, weight = rows[order], pair[order], weight[order]
         new = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (pair[1:] != pair[:-1]))[: len(rows)])
         return rows[new], pair[new], np.add.reduceat(weight, new) if len(new) else weight
@@ -302,15 +346,27 @@ def _sides(spark: SparkSession, a_path: str, b_path: str):
     return spark.sparkContext.broadcast((file_bytes(spark, a_path), file_bytes(spark, b_path)))
 
 
+@lru_cache(1)
+def _loaded(a: bytes, b: bytes) -> tuple[ByteSide, PieceSide]:
+    """Both sides, read once by each worker."""
+    return ByteSide(a), PieceSide(b)
+
+
 def _slices(batches, shared):
     """Rows of Arrow batches with the ids of both sides and their groups."""
     os.environ |= {"RAYON_NUM_THREADS": "1", "TOKENIZERS_PARALLELISM": "false"}
-    encoder = Encoder(ByteSide(shared.value[0]), PieceSide(shared.value[1]))
+    sides = _loaded(*shared.value)
     for batch in batches:
-        for part in pieces(batch, "text", SLICE):
-            ids_a, a_at, ids_b, b_at = encoder.slice(part.column("text"))
-            a, b, both = overlaps(a_at, b_at, encoder.a.size[ids_a], encoder.b.size[ids_b])
-            yield part, ids_a, a_at, ids_b, b_at, a, b, both, *groups(a, b, both)
+        for large in pieces(batch, "text", SLICE):
+            all_a, at_a, all_b, at_b = encoded(sides, large.column("text"))
+            lo = 0
+            for part in pieces(large, "text", STEP):
+                hi = lo + part.num_rows
+                ids_a, ids_b = all_a[at_a[lo] : at_a[hi]], all_b[at_b[lo] : at_b[hi]]
+                a_at, b_at = at_a[lo : hi + 1] - at_a[lo], at_b[lo : hi + 1] - at_b[lo]
+                a, b, both = overlaps(a_at, b_at, sides[0].size[ids_a], sides[1].size[ids_b])
+                yield part, ids_a, a_at, ids_b, b_at, a, b, both, *groups(a, b, both)
+                lo = hi
 
 
 def aligned(docs: DataFrame, a_path: str = BYTE_MODEL, b_path: str = MODEL) -> DataFrame:
@@ -319,6 +375,7 @@ def aligned(docs: DataFrame, a_path: str = BYTE_MODEL, b_path: str = MODEL) -> D
     shared = _sides(docs.sparkSession, a_path, b_path)
 
     def align(batches):
+        decimals = _decimals(1 << 17)
         for part, ids_a, a_at, ids_b, b_at, _, _, _, of_a, of_b, row in _slices(batches, shared):
             n = part.num_rows
             at, pair, times = distinct_links(ids_a, of_a, ids_b, of_b, row, n)
@@ -327,7 +384,7 @@ def aligned(docs: DataFrame, a_path: str = BYTE_MODEL, b_path: str = MODEL) -> D
             links = np.zeros(n, np.int64)
             np.add.at(links, row, in_a * in_b)
             lists = lambda x, at=at: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, pa.int64()))
-            columns = [part.column("doc_id"), np.diff(a_at), np.diff(b_at), np.bincount(row, minlength=n), links, group_texts(ids_a, of_a, ids_b, of_b, row, n), lists(pair), lists(times)]
+            columns = [part.column("doc_id"), np.diff(a_at), np.diff(b_at), np.bincount(row, minlength=n), links, group_texts(ids_a, of_a, ids_b, of_b, row, n, decimals), lists(pair), lists(times)]
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
