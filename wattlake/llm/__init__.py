@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline; queries() and oracle_sql() gather the modules' own."""
 
-from . import line_dedup, lm_scoring, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_alignment, toxicity, vector_dedup, vector_topk
+from . import hard_negatives, license_scan, line_dedup, lm_scoring, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_alignment, toxicity, vector_dedup, vector_topk
 
-_MODULES = [line_dedup, ngram_join, mixing, sharding, vector_topk, vector_dedup, toxicity, sentencepiece_codec, lm_scoring, quality, token_alignment]
+_MODULES = [line_dedup, ngram_join, mixing, sharding, vector_topk, vector_dedup, toxicity, sentencepiece_codec, lm_scoring, quality, license_scan, hard_negatives, token_alignment]
 
 
 def queries():

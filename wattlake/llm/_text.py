@@ -58,12 +58,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word in the bytes; words end where their text ends."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~SPACE[data]
+    word = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     first = word.copy()
@@ -73,10 +73,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def words(column) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a string column, and the n + 1 offsets of its rows in them."""
+def words(column, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a string column, and the n + 1 offsets of its rows in them; `space` marks the
+    bytes that are in no word."""
     data, offsets = utf8(column)
-    starts, ends = word_spans(data, offsets)
+    starts, ends = word_spans(data, offsets, space)
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
