@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import EPS, balance, clip, degrees_above, degrees_below, safe_corr, season, slot_of_day
+from ..functions.columns import EPS, balance, clip, degrees_above, degrees_below, micros, safe_corr, season, slot_of_day
 
 SUMMER, WINTER, SPRING, AUTUMN = (6, 7, 8), (12, 1, 2), (3, 4, 5), (9, 10, 11)
 LAGS = (1, 4, 96)
@@ -115,24 +115,32 @@ def disagg_features(rows: DataFrame, heat: bool = False) -> DataFrame:
 
 
 def rebuilt_load(aligned: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Load in kW with the forecast of own solar production put back; capacity: customer_id, pv_capacity_kwp."""
-    kwp = F.coalesce(F.when(F.col("pv_capacity_kwp") > 0, F.col("pv_capacity_kwp")), F.lit(0.0))
-    sun = F.greatest(F.coalesce("global_rad_w", F.lit(0.0)), F.lit(0.0)) / 1000 * kwp * 0.25
-    total = F.when(kwp > 0, F.greatest(F.col("conso_kwh") - F.col("prod_kwh") + sun, F.lit(0.0))).otherwise(F.greatest("conso_kwh", F.lit(0.0))) * 4
+    """Load in kW with the forecast of own solar production put back; capacity: customer_id, pv_capacity_kwp. Absent
+    consumption, production and radiation count as 0; only customers with a capacity are kept from falling below 0."""
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    kwp = zero(F.when(F.col("pv_capacity_kwp") > 0, F.col("pv_capacity_kwp")))
+    sun = F.greatest(zero("global_rad_w"), F.lit(0.0)) / 1000 * kwp * 0.25
+    total = F.when(kwp > 0, F.greatest(zero("conso_kwh") - zero("prod_kwh") + sun, F.lit(0.0))).otherwise(zero("conso_kwh")) * 4
     return aligned.join(capacity, "customer_id", "left").select("customer_id", "ts", total.alias("load"), F.col("t_2m_c").alias("temp"), F.col("global_rad_w").alias("rad"))
 
 
 def curve_quality(curves: DataFrame, by: list[str]) -> DataFrame:
-    """Rows, winter and summer rows, longest gap in days, coverage, start and end of each curve (ts, ...)."""
+    """Times, winter and summer ones, longest gap in days, coverage, start and end of each curve (ts, ...); a repeated
+    time counts once."""
     w = Window.partitionBy(*by).orderBy("ts")
-    gap = F.unix_date(F.to_date("ts")) * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60
-    c = curves.withColumn("__s", gap.cast("long")).withColumn("__g", F.col("__s") - F.lag("__s").over(w))
+    c = curves.withColumn("__s", micros("ts")).withColumn("__g", F.col("__s") - F.lag("__s").over(w))
+    first = F.coalesce(F.col("__g") > 0, F.lit(True))
+    day = 86_400_000_000
     return c.groupBy(*by).agg(
-        F.count("*").alias("n_rows"), F.count_if(season("ts", WINTER)).alias("n_winter"), F.count_if(season("ts", SUMMER)).alias("n_summer"),
-        (F.coalesce(F.max("__g"), F.lit(0)) / 86400).alias("max_gap_days"), (F.count("*") / (F.floor((F.max("__s") - F.min("__s")) / 900) + 1)).alias("coverage"), F.min("ts").alias("start"), F.max("ts").alias("end"),
+        F.count_if(first).alias("n_rows"), F.count_if(first & season("ts", WINTER)).alias("n_winter"), F.count_if(first & season("ts", SUMMER)).alias("n_summer"),
+        (F.coalesce(F.max("__g"), F.lit(0)) / day).alias("max_gap_days"), (F.count_if(first) / (F.floor((F.max("__s") - F.min("__s")) / 900_000_000) + 1)).alias("coverage"), F.min("ts").alias("start"), F.max("ts").alias("end"),
     )
 
 
+#: Reasons of `usable`.
+QUALITY = ("too_few_rows", "too_few_winter_rows", "too_few_summer_rows", "gap_too_long", "coverage_too_low")
+
+
 def usable(quality: DataFrame, rows: int, winter: int, summer: int, gap_days: float, coverage: float) -> DataFrame:
     """Adds reason: the first rule that fails, or ok."""
     reason = F.when(F.col("n_rows") < rows, "too_few_rows").when(F.col("n_winter") < winter, "too_few_winter_rows").when(F.col("n_summer") < summer, "too_few_summer_rows").when(F.col("max_gap_days") > gap_days, "gap_too_long").when(F.col("coverage") < coverage, "coverage_too_low").otherwise("ok")

@@ -191,6 +191,9 @@ hp1 AS (SELECT hp0.*, CASE WHEN quality <> 'ok' THEN quality WHEN abs(corr_all)
     WHEN corr_cold <= -0.2 THEN 'cold_check' WHEN corr_hot >= 0.2 THEN 'hot_check' ELSE 'weak_after_temperature_checks' END AS reason FROM hp0 JOIN {_quality("HP", "type = 'HP'")} USING (customer_id)),
 hp AS (SELECT *, CASE WHEN reason = 'all_year_corr' THEN CASE WHEN corr_all < 0 THEN 'winter_hp' ELSE 'summer_hp' END WHEN reason IN ('cold_check_stronger_than_hot', 'cold_check') THEN 'winter_hp' WHEN reason IN ('hot_check_stronger_than_cold', 'hot_check') THEN 'summer_hp' END AS hp_season FROM hp1)"""
 
+_AC_LABEL = f""", a AS (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 25')} AS corr_hot, round(avg(value_kw_mean) FILTER (month(ts) IN (6, 7, 8)), 6) AS summer_mean FROM training WHERE type = 'AC' GROUP BY 1),
+l AS (SELECT a.*, CASE WHEN quality <> 'ok' THEN quality WHEN corr_all >= 0.2 THEN 'all_year_corr' WHEN corr_hot >= 0.2 THEN 'hot_check' WHEN summer_mean > 0.05 THEN 'summer_mean_positive' ELSE 'weak_ac_signal' END AS reason FROM a JOIN {_quality("AC", "type = 'AC'")} USING (customer_id))"""
+
 
 def _pairs(kind, kw, more):
     n = kind.lower()
@@ -199,6 +202,12 @@ FROM (SELECT * FROM training WHERE type = 'TOT' AND abs(value_kw_mean) > 1e-6) t
 WHERE t.customer_id IN (SELECT customer_id FROM {_quality("TOT", "type = 'TOT'")} WHERE quality = 'ok'){more}"""
 
 
+#: From rows to m, d and h, whose join holds the air-conditioning features.
+_AC_FEATURES = f""", n AS (SELECT customer_id, count(*) FILTER (rad > 50) AS n_day_rows FROM rows GROUP BY 1), part AS (SELECT * FROM rows JOIN n USING (customer_id) WHERE n_day_rows < 100 OR rad > 50), {_LAGGED},
+m AS (SELECT customer_id, first(n_day_rows) AS n_day_rows, count(*) AS n_rows, first(n_day_rows) >= 100 AS used_daytime_only, {_features(_corr('load', 'rad') + ' AS corr_rad_all', 25, 10, (4, 96))}, round({_mean('hour(ts) BETWEEN 14 AND 18')} / (abs(avg(load)) + 1e-8), 6) AS afternoon_peak_ratio, round({_mean(_S)} / (abs(avg(load)) + 1e-8), 6) AS summer_ratio, round({_mean('temp > 25')} / (abs(avg(load)) + 1e-8), 6) AS hot_ratio, round({_mean(_S)} / ({_mean(_SP)} + 1e-8), 6) AS summer_vs_spring FROM lagged GROUP BY 1),
+d AS (SELECT customer_id, {_BAL.format(_mean('rad > 50'), _mean('rad <= 50'))} AS daytime_share FROM rows WHERE rad IS NOT NULL GROUP BY 1),
+h AS (SELECT customer_id, CAST(h AS INTEGER) AS peak_hour FROM (SELECT customer_id, hour(ts) AS h, round(avg(load), 9) AS m FROM part WHERE month(ts) IN (6, 7, 8) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY m DESC, h) = 1)"""
+_HP_FEATURES = f", part AS (SELECT * FROM rows WHERE rad <= 20), {_LAGGED}, hf AS (SELECT customer_id, count(*) AS n_night_rows, {_features(_corr('load', 'temp', 'temp < 10') + ' AS corr_cold', 28, 10, (1, 4, 96))} FROM lagged GROUP BY customer_id HAVING count(*) >= 100)"
 _EV = with_sql(M) + """,
 kw AS (SELECT customer_id, ts, conso_kwh / 0.25::DOUBLE AS kw, prod_kwh / 0.25::DOUBLE AS pv, conso_kwh / 0.25::DOUBLE - prod_kwh / 0.25::DOUBLE AS net FROM meter),
 bl AS (SELECT customer_id, median(net) AS base FROM kw WHERE hour(ts) BETWEEN 1 AND 3 GROUP BY 1),
@@ -223,12 +232,8 @@ e AS (SELECT customer_id, ts AS start, fall AS "end" FROM n WHERE diff > 0.1 AND
 k AS (SELECT e.customer_id, start, "end", sum(c) AS energy_kwh, min(c) AS least FROM e JOIN g ON g.customer_id = e.customer_id AND g.ts >= start AND g.ts < "end" GROUP BY ALL)
 SELECT customer_id, start, "end", CAST(date_diff('minute', start, "end") AS INTEGER) AS minutes, round(energy_kwh, 6) AS energy_kwh, strftime(start + to_hours(1), '%d.%m.%Y %H:%M') AS start_local, strftime("end" + to_hours(1), '%d.%m.%Y %H:%M') AS end_local, strftime(start + to_hours(1), '%Y-%m-%d') AS date_local
 FROM k WHERE least >= 0.1 AND date_diff('minute', start, "end") >= 30""",
-    "hp_features": _L + f", part AS (SELECT * FROM rows WHERE rad <= 20), {_LAGGED} SELECT customer_id, count(*) AS n_night_rows, {_features(_corr('load', 'temp', 'temp < 10') + ' AS corr_cold', 28, 10, (1, 4, 96))} FROM lagged GROUP BY customer_id HAVING count(*) >= 100",
-    "ac_features": _L + f""", n AS (SELECT customer_id, count(*) FILTER (rad > 50) AS n_day_rows FROM rows GROUP BY 1), part AS (SELECT * FROM rows JOIN n USING (customer_id) WHERE n_day_rows < 100 OR rad > 50), {_LAGGED},
-m AS (SELECT customer_id, first(n_day_rows) AS n_day_rows, count(*) AS n_rows, first(n_day_rows) >= 100 AS used_daytime_only, {_features(_corr('load', 'rad') + ' AS corr_rad_all', 25, 10, (4, 96))}, round({_mean('hour(ts) BETWEEN 14 AND 18')} / (abs(avg(load)) + 1e-8), 6) AS afternoon_peak_ratio, round({_mean(_S)} / (abs(avg(load)) + 1e-8), 6) AS summer_ratio, round({_mean('temp > 25')} / (abs(avg(load)) + 1e-8), 6) AS hot_ratio, round({_mean(_S)} / ({_mean(_SP)} + 1e-8), 6) AS summer_vs_spring FROM lagged GROUP BY 1),
-d AS (SELECT customer_id, {_BAL.format(_mean('rad > 50'), _mean('rad <= 50'))} AS daytime_share FROM rows WHERE rad IS NOT NULL GROUP BY 1),
-h AS (SELECT customer_id, CAST(h AS INTEGER) AS peak_hour FROM (SELECT customer_id, hour(ts) AS h, round(avg(load), 9) AS m FROM part WHERE month(ts) IN (6, 7, 8) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY m DESC, h) = 1)
-SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)""",
+    "hp_features": _L + _HP_FEATURES + " SELECT * FROM hf",
+    "ac_features": _L + _AC_FEATURES + " SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)",
     "user_profile_ac": _L + _profile(50, 0.30) + f" SELECT customer_id, {_PCOLS} FROM p",
     "user_profile_hp": _L + _profile(20, 0.20) + f" SELECT customer_id, round(q05, 6) AS q05, {_PCOLS}, round(hp_likeness, 6) AS hp_likeness, CASE WHEN hp_likeness >= 0.6 THEN 'scientific_like' WHEN hp_likeness <= 0.35 THEN 'dataport_like' ELSE 'uncertain' END AS hp_class FROM s",
     "disagg_features_ac": _disagg(50, 0.30, f"round({_CDD}, 9) AS cdd_28, {_DAY} AS is_day, CASE WHEN month(ts) IN (6, 7, 8) THEN 1 ELSE 0 END AS is_summer, round({_CDD} * CASE WHEN hour(ts) BETWEEN 14 AND 17 THEN 1 ELSE 0 END, 9) AS cdd28_x_afternoon, round({_CDD} * {_DAY}, 9) AS cdd28_x_day"),
@@ -238,9 +243,7 @@ c AS (SELECT type, customer_id, count(*) AS n_rows, count(*) FILTER (month(ts) I
   count(*) / (floor((max(epoch(ts)) - min(epoch(ts))) / 900) + 1) AS coverage, min(ts) AS start, max(ts) AS "end" FROM g GROUP BY ALL)
 SELECT type, customer_id, n_rows, n_winter, n_summer, round(max_gap_days, 6) AS max_gap_days, round(coverage, 6) AS coverage, start, "end",
   CASE WHEN n_rows < 500 THEN 'too_few_rows' WHEN n_winter < 100 THEN 'too_few_winter_rows' WHEN n_summer < 100 THEN 'too_few_summer_rows' WHEN max_gap_days > 40 THEN 'gap_too_long' WHEN coverage < 0.001 THEN 'coverage_too_low' ELSE 'ok' END AS reason FROM c""",
-    "ac_label": _T + f""", a AS (SELECT customer_id, {_corr('value_kw_mean', 'temp')} AS corr_all, {_corr('value_kw_mean', 'temp', 'temp > 25')} AS corr_hot, round(avg(value_kw_mean) FILTER (month(ts) IN (6, 7, 8)), 6) AS summer_mean FROM training WHERE type = 'AC' GROUP BY 1),
-l AS (SELECT a.*, CASE WHEN quality <> 'ok' THEN quality WHEN corr_all >= 0.2 THEN 'all_year_corr' WHEN corr_hot >= 0.2 THEN 'hot_check' WHEN summer_mean > 0.05 THEN 'summer_mean_positive' ELSE 'weak_ac_signal' END AS reason FROM a JOIN {_quality("AC", "type = 'AC'")} USING (customer_id))
-SELECT *, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l""",
+    "ac_label": _T + _AC_LABEL + " SELECT *, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l",
     "hp_label": _T + f", {_HP_LABEL} SELECT * FROM hp",
     "align_tot_ac": _T + " " + _pairs("AC", 0.30, ""),
     "align_tot_hp": _T + f", {_HP_LABEL} " + _pairs("HP", 0.20, " AND t.customer_id IN (SELECT customer_id FROM hp WHERE hp_season = 'winter_hp') AND t.customer_id NOT IN (SELECT customer_id FROM training WHERE type = 'TOT' GROUP BY 1 HAVING avg(CASE WHEN value_kw_mean < -0.1 THEN 1.0::DOUBLE ELSE 0 END) >= 0.03)"),
