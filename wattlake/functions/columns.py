@@ -40,10 +40,11 @@ def safe_corr(x, y, least: int = 10) -> Column:
 
 
 def slope(y, x) -> Column:
-    """Aggregate: least-squares slope of y on x over rows with both; null for a constant x."""
+    """Aggregate: least-squares slope of y on x over rows with both; 0 below 3 rows or for a constant x."""
     x, y = col(x), col(y)
     both = x.isNotNull() & y.isNotNull()
-    return F.try_divide(F.covar_samp(F.when(both, x), F.when(both, y)), F.var_samp(F.when(both, x)))
+    a, b = F.when(both, x), F.when(both, y)
+    return F.when((F.count(a) >= 3) & (F.min(a) < F.max(a)), F.try_divide(F.covar_samp(a, b), F.var_samp(a))).otherwise(0.0)
 
 
 def slope_error(y, x) -> Column:

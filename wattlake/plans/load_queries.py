@@ -8,7 +8,7 @@ from ..operators import appliances as ap
 from ..operators import battery, ev, pv
 from ..sources import adapters as A
 from .pipeline import join_scalar as pipeline_join
-from .series_queries import AL, EV, M, W, _STEP, aligned, rounded, with_sql
+from .series_queries import AL, CAP_SQL, CDAY_SQL, DAY_SQL, EV, FACTS_SQL, INDICATORS_SQL, M, W, _STEP, aligned, rounded, with_sql
 from .shipping import materialised
 
 
@@ -109,13 +109,16 @@ def battery_detect(spark, d):
 
 
 def rebuilt_load(spark, d):
-    return rounded(ap.rebuilt_load(aligned(spark, d), pv_facts(spark, d).where("has_pv").select("customer_id", "pv_capacity_kwp")))
+    """Load of all customers; on every third day of a month the production is unknown."""
+    al = aligned(spark, d).withColumn("prod_kwh", F.when(F.dayofmonth("ts") % 3 != 0, F.col("prod_kwh")))
+    return rounded(ap.rebuilt_load(al, pv_facts(spark, d).where("has_pv").select("customer_id", "pv_capacity_kwp")))
 
 
 def join_scalar(spark, d):
-    """Scalar results side by side: full outer joins on the customer, the right side's own columns only."""
+    """Scalar results side by side: full outer joins on the customer, the right side's own columns only; flags as numbers."""
     parts = [pv_facts(spark, d), ev.detect_ev(A.meter(spark, d), grid_kw=0.4, least=3, spread=0.6).where("sessions > 0").select("customer_id", "has_ev", "prob_ev"), ap.hp_features(rows(spark, d)).select("customer_id", "n_night_rows"), ap.ac_label(curves(spark, d, "AC"), SPARSE["AC"]).select("customer_id", "has_ac")]
-    return rounded(pipeline_join(parts))
+    out = pipeline_join(parts)
+    return rounded(out.select("customer_id", *[F.col(c).cast("double").alias(c) for c in out.columns if c != "customer_id"]))
 
 
 def annual_kwh(spark, d):
@@ -197,9 +200,11 @@ l AS (SELECT a.*, CASE WHEN quality <> 'ok' THEN quality WHEN corr_all >= 0.2 TH
 
 def _pairs(kind, kw, more):
     n = kind.lower()
-    return f"""SELECT t.customer_id, t.ts, round(t.value_kw_mean, 9) AS tot_kw, round(t.temp, 9) AS temp, round(t.glob_rad, 9) AS rad, round(a.value_kw_mean, 9) AS {n}_kw, CASE WHEN a.value_kw_mean >= {kw} THEN 1 ELSE 0 END AS {n}_on, round(least(greatest(a.value_kw_mean / (t.value_kw_mean + 1e-6), 0), 1), 9) AS {n}_ratio
-FROM (SELECT * FROM training WHERE type = 'TOT' AND abs(value_kw_mean) > 1e-6) t JOIN (SELECT * FROM training WHERE type = '{kind}') a ON t.customer_id = a.customer_id AND t.ts = a.ts
-WHERE t.customer_id IN (SELECT customer_id FROM {_quality("TOT", "type = 'TOT'")} WHERE quality = 'ok'){more}"""
+    return f""", own AS MATERIALIZED (SELECT customer_id, ts, min(value_kw_mean) AS kw FROM training WHERE type = '{kind}' GROUP BY ALL),
+fine AS MATERIALIZED (SELECT customer_id FROM {_quality("TOT", "type = 'TOT'")} WHERE quality = 'ok'),
+tot AS MATERIALIZED (SELECT customer_id, ts, value_kw_mean AS kw, temp, glob_rad FROM training WHERE type = 'TOT' AND abs(value_kw_mean) > 1e-6 AND customer_id IN (SELECT customer_id FROM fine) AND customer_id IN (SELECT customer_id FROM own))
+SELECT t.customer_id, t.ts, round(t.kw, 9) AS tot_kw, round(t.temp, 9) AS temp, round(t.glob_rad, 9) AS rad, round(a.kw, 9) AS {n}_kw, CASE WHEN a.kw >= {kw} THEN 1 ELSE 0 END AS {n}_on, round(least(greatest(a.kw / (t.kw + 1e-6), 0), 1), 9) AS {n}_ratio
+FROM tot t JOIN own a ON t.customer_id = a.customer_id AND t.ts = a.ts WHERE TRUE{more}"""
 
 
 #: From rows to m, d and h, whose join holds the air-conditioning features.
@@ -223,7 +228,47 @@ y AS (SELECT customer_id, sum(conso_kwh) / 1000 AS yearly_mwh FROM meter GROUP B
 x AS (SELECT y.*, sessions, yearly_mwh >= 100 AS filtered, 0.30::DOUBLE / (1 + exp(-0.4::DOUBLE * (sessions - 8))) + 0.25::DOUBLE / (1 + exp(-1.2::DOUBLE * (per_week - 2))) + 0.20::DOUBLE * least(greatest((kw - 0.8::DOUBLE) / 1.7::DOUBLE, 0), 1)
   + 0.15::DOUBLE * least(greatest((kwh - 4) / 16, 0), 1) + 0.10::DOUBLE * (CASE WHEN uneven IS NULL THEN 1 ELSE least(greatest(1 - uneven, 0), 1) END) AS score FROM y LEFT JOIN o USING (customer_id) LEFT JOIN w USING (customer_id)),
 ev AS (SELECT customer_id, yearly_mwh, filtered, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(sessions, 0) END AS BIGINT) AS sessions, CASE WHEN filtered OR sessions IS NULL THEN 0.0::DOUBLE ELSE round(least(greatest(score, 0), 1), 3) END AS prob_ev FROM x)"""
+_FACTS = with_sql(M, W, AL, DAY_SQL, CDAY_SQL, INDICATORS_SQL, CAP_SQL, FACTS_SQL)
+_BATTERY = _FACTS + """,
+bm AS (SELECT m.*, w.t_2m_c AS temp, w.global_rad_w AS rad FROM meter m ASOF LEFT JOIN weather w ON m.ts >= w.ts),
+b0 AS (SELECT customer_id, pv_capacity_kwp AS kwp, bm.ts AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Zurich' AS ts, conso_kwh, prod_kwh, temp, rad, rad * 0.00025 AS radk FROM bm JOIN pvf USING (customer_id) WHERE has_pv),
+b1 AS (SELECT *, CAST(ts AS DATE) AS date, hour(ts) * 4 + minute(ts) // 15 AS slot FROM b0),
+bday AS (SELECT customer_id, date, coalesce(sum(radk), 0) AS radk, coalesce(sum(prod_kwh), 0) AS prod, max(rad) >= 100 AS sunny FROM b1 GROUP BY ALL HAVING avg(temp) IS NOT NULL AND max(rad) IS NOT NULL),
+b2 AS (SELECT b1.*, sunny FROM b1 JOIN bday USING (customer_id, date)),
+bst AS (SELECT customer_id, max(s) AS start FROM (SELECT customer_id, sunny, coalesce(min(slot) FILTER (slot >= 56 AND m < 12), 72) AS s FROM (SELECT customer_id, sunny, slot, avg(rad) AS m FROM b2 GROUP BY ALL) GROUP BY ALL) GROUP BY 1),
+bev AS (SELECT b2.* FROM b2 JOIN bst USING (customer_id) WHERE slot BETWEEN start AND 95),
+be AS (SELECT customer_id, kwp, date, sunny, coalesce(sum(conso_kwh), 0) AS conso, coalesce(sum(prod_kwh), 0) AS prod, coalesce(sum(radk), 0) AS radk, round_even(avg(temp) / 2, 0) * 2 AS bin FROM bev GROUP BY ALL HAVING avg(temp) IS NOT NULL),
+bbase AS (SELECT customer_id, bin, avg(conso) AS baseline FROM be WHERE NOT sunny GROUP BY ALL),
+bmt AS (SELECT *, greatest(baseline - conso, 0) AS gap, greatest(coalesce(kwp, 5) * radk * 0.85::DOUBLE, 0) AS potential FROM be JOIN bbase USING (customer_id, bin) WHERE sunny),
+bmm AS (SELECT *, CASE WHEN baseline > 0 THEN gap / baseline ELSE 0 END AS gap_ratio, least(gap, greatest(potential - prod, 0)) AS shift FROM bmt),
+bcnt AS (SELECT customer_id, count(*) FILTER (NOT sunny) AS n_dark_days, count(*) FILTER (sunny) AS n_sunny_days, avg(radk) FILTER (sunny) AS radk_sunny, avg(prod) FILTER (sunny) AS prod_sunny FROM bday GROUP BY 1),
+bevn AS (SELECT customer_id, count(*) FILTER (NOT sunny) AS dark_evenings, count(*) FILTER (sunny) AS sunny_evenings FROM be GROUP BY 1),
+bper AS (SELECT customer_id, count(*) AS matched, median(gap_ratio) AS gap_ratio, avg(CASE WHEN round(gap, 9) > 0.4 THEN 1.0::DOUBLE ELSE 0 END) AS consistency, median(CASE WHEN potential > 0 THEN shift / potential END) AS shift_ratio FROM bmm GROUP BY 1),
+bpr0 AS (SELECT v.customer_id, v.slot, avg(v.conso_kwh) FILTER (NOT v.sunny) AS dark, avg(v.conso_kwh) FILTER (k.hit) AS sun FROM bev v LEFT JOIN (SELECT customer_id, date, TRUE AS hit FROM bmm) k ON v.customer_id = k.customer_id AND v.date = k.date GROUP BY ALL),
+bpr AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY slot) AS pos FROM bpr0 WHERE dark IS NOT NULL AND sun IS NOT NULL),
+bsh AS (SELECT customer_id, (sum(dark) - (arg_min(dark, slot) + arg_max(dark, slot)) / 2) - (sum(sun) - (arg_min(sun, slot) + arg_max(sun, slot)) / 2) AS avg_gap,
+  greatest(first(pos ORDER BY round(sun, 9) DESC, pos) - first(pos ORDER BY round(dark, 9) DESC, pos), 0) * 15 AS peak_shift FROM bpr GROUP BY 1),
+byr AS (SELECT customer_id, CASE WHEN floor(epoch(max(ts) - min(ts)) / 86400) >= 30 THEN sum(conso_kwh) / floor(epoch(max(ts) - min(ts)) / 86400) * 365 END AS annual FROM meter GROUP BY 1),
+bx AS (SELECT pvf.customer_id, pv_capacity_kwp AS kwp, n_dark_days, n_sunny_days, radk_sunny, prod_sunny, dark_evenings, sunny_evenings, matched, gap_ratio, consistency, shift_ratio, avg_gap, peak_shift, annual,
+    coalesce(pv_capacity_kwp, 5) * radk_sunny * 0.85::DOUBLE AS high, greatest(pv_capacity_kwp, annual * 0.001::DOUBLE) AS anchor
+  FROM pvf LEFT JOIN bcnt USING (customer_id) LEFT JOIN bevn USING (customer_id) LEFT JOIN bper USING (customer_id) LEFT JOIN bsh USING (customer_id) LEFT JOIN byr USING (customer_id) WHERE has_pv),
+bz AS (SELECT *, CASE WHEN coalesce(n_dark_days, 0) < 2 THEN 'REJECTED: No Baseline' WHEN coalesce(n_sunny_days, 0) < 2 THEN 'REJECTED: No Sunny Match' WHEN dark_evenings IS NULL THEN 'REJECTED: No Evening Features' WHEN dark_evenings < 2 THEN 'REJECTED: No Baseline'
+    WHEN sunny_evenings < 2 THEN 'REJECTED: No Sunny Match' WHEN coalesce(matched, 0) < 2 THEN 'REJECTED: No Temp-Matched Sunny' WHEN avg_gap IS NULL THEN 'REJECTED: No Matched Profiles' ELSE 'Success' END AS status,
+  -2.5::DOUBLE + 0.04::DOUBLE * peak_shift + 6.2::DOUBLE * gap_ratio + 2 * (0.6::DOUBLE - CASE WHEN high <= 0.1 THEN 1 ELSE least(greatest(prod_sunny / high, 0), 2) END) + 1.1::DOUBLE * least(greatest(consistency, 0), 1)
+    + 0.7::DOUBLE * least(greatest(coalesce(shift_ratio, 0), 0), 1) - CASE WHEN matched < 7 THEN 0.5::DOUBLE ELSE 0 END AS z FROM bx),
+bp AS (SELECT *, CASE WHEN status = 'Success' THEN round_even(100 / (1 + exp(-least(greatest(z, -20), 20))) * CASE WHEN avg_gap < 2 OR avg_gap > 30 THEN 0.4::DOUBLE ELSE 1 END * CASE WHEN high > 0 AND avg_gap > 1.5::DOUBLE * high THEN 0.7::DOUBLE ELSE 1 END, 2) / 100 ELSE 0 END AS p FROM bz),
+bc AS (SELECT customer_id, quantile_cont(c, 0.9) AS c90, quantile_cont(c, 0.25) AS c25, quantile_cont(c, 0.75) AS c75 FROM (SELECT bmm.customer_id, CASE WHEN anchor IS NULL THEN shift / 0.4::DOUBLE ELSE 0.45::DOUBLE * shift / 0.4::DOUBLE + 0.55::DOUBLE * anchor END AS c FROM bmm JOIN bx USING (customer_id) WHERE shift >= 0) GROUP BY 1),
+bf AS (SELECT bp.*, least(coalesce(c90, anchor), most) AS est, least(coalesce(c25, anchor), most) AS low, least(coalesce(c75, anchor), most) AS upp FROM (SELECT *, CASE WHEN kwp IS NULL THEN 30 ELSE greatest(2 * kwp, 5) END AS most FROM bp) bp LEFT JOIN bc USING (customer_id))
+SELECT customer_id, p >= 0.5 AS has_battery, round(p, 4) AS prob_battery, status, coalesce(matched, 0) AS n_matched_sunny_days, coalesce(n_dark_days, 0) AS n_dark_days, round(CASE WHEN status = 'Success' AND est >= 5 THEN least(est, 30) END, 4) AS battery_capacity_kwh,
+  round(CASE WHEN status = 'Success' AND est >= 5 THEN least(greatest(low, 5), 30) END, 4) AS batt_ci_lower, round(CASE WHEN status = 'Success' AND est >= 5 THEN least(greatest(upp, 5), 30) END, 4) AS batt_ci_upper FROM bf
+UNION ALL SELECT customer_id, FALSE, 0.0, 'skipped_no_pv', 0, 0, NULL, NULL, NULL FROM pvf WHERE NOT has_pv"""
 SQL = {
+    "battery_detect": _BATTERY,
+    "rebuilt_load": _FACTS + """, x AS (SELECT a.*, CASE WHEN has_pv AND pv_capacity_kwp > 0 THEN pv_capacity_kwp ELSE 0 END AS kwp FROM (SELECT customer_id, ts, conso_kwh, CASE WHEN day(ts) % 3 <> 0 THEN prod_kwh END AS prod_kwh, t_2m_c, global_rad_w FROM aligned) a LEFT JOIN pvf USING (customer_id))
+SELECT customer_id, ts, round(CASE WHEN kwp > 0 THEN greatest(coalesce(conso_kwh, 0) - coalesce(prod_kwh, 0) + greatest(coalesce(global_rad_w, 0), 0) / 1000 * kwp * 0.25::DOUBLE, 0) ELSE coalesce(conso_kwh, 0) END * 4, 6) AS load, round(t_2m_c, 6) AS temp, round(global_rad_w, 6) AS rad FROM x""",
+    "join_scalar": "SELECT customer_id, has_pv::INT::DOUBLE AS has_pv, round(prob_pv, 6) AS prob_pv, round(pv_capacity_kwp, 6) AS pv_capacity_kwp, has_ev::INT::DOUBLE AS has_ev, prob_ev, n_night_rows::DOUBLE AS n_night_rows, has_ac::INT::DOUBLE AS has_ac FROM (" + _FACTS + " SELECT * FROM pvf) FULL JOIN (" + _EV
+    + " SELECT customer_id, prob_ev >= 0.8 AS has_ev, prob_ev FROM ev WHERE sessions > 0) USING (customer_id) FULL JOIN (" + _L + _HP_FEATURES + " SELECT customer_id, n_night_rows FROM hf) USING (customer_id) FULL JOIN ("
+    + _T + _AC_LABEL + " SELECT customer_id, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l) USING (customer_id)",
     "ev_detect": _EV + " SELECT customer_id, round(yearly_mwh, 6) AS yearly_mwh, filtered, sessions, prob_ev, prob_ev >= 0.8 AS has_ev FROM ev",
     "ev_sessions": with_sql(EV, _STEP) + """,
 g AS (SELECT customer_id, ts, coalesce(total, 0) AS c, coalesce(total, 0) - lag(coalesce(total, 0)) OVER (PARTITION BY customer_id ORDER BY ts) AS diff FROM filled),
@@ -245,8 +290,8 @@ SELECT type, customer_id, n_rows, n_winter, n_summer, round(max_gap_days, 6) AS
   CASE WHEN n_rows < 500 THEN 'too_few_rows' WHEN n_winter < 100 THEN 'too_few_winter_rows' WHEN n_summer < 100 THEN 'too_few_summer_rows' WHEN max_gap_days > 40 THEN 'gap_too_long' WHEN coverage < 0.001 THEN 'coverage_too_low' ELSE 'ok' END AS reason FROM c""",
     "ac_label": _T + _AC_LABEL + " SELECT *, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l",
     "hp_label": _T + f", {_HP_LABEL} SELECT * FROM hp",
-    "align_tot_ac": _T + " " + _pairs("AC", 0.30, ""),
-    "align_tot_hp": _T + f", {_HP_LABEL} " + _pairs("HP", 0.20, " AND t.customer_id IN (SELECT customer_id FROM hp WHERE hp_season = 'winter_hp') AND t.customer_id NOT IN (SELECT customer_id FROM training WHERE type = 'TOT' GROUP BY 1 HAVING avg(CASE WHEN value_kw_mean < -0.1 THEN 1.0::DOUBLE ELSE 0 END) >= 0.03)"),
+    "align_tot_ac": _T + _pairs("AC", 0.30, ""),
+    "align_tot_hp": _T + f", {_HP_LABEL}" + _pairs("HP", 0.20, " AND t.customer_id IN (SELECT customer_id FROM hp WHERE hp_season = 'winter_hp') AND t.customer_id NOT IN (SELECT customer_id FROM training WHERE type = 'TOT' GROUP BY 1 HAVING avg(CASE WHEN value_kw_mean < -0.1 THEN 1.0::DOUBLE ELSE 0 END) >= 0.03)"),
     "sample_weights": _T + ", n AS (SELECT customer_id, count(*) AS n FROM training WHERE type = 'TOT' GROUP BY 1) SELECT customer_id, n, round((SELECT sum(n) FROM n) / (SELECT count(*) FROM n)::DOUBLE / n, 6) AS sample_weight FROM n",
     "f_to_c": _L + ", t AS (SELECT customer_id, ts, CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN temp * 9 / 5 + 32 ELSE temp END AS temp FROM rows), x AS (SELECT *, max(temp) OVER (PARTITION BY customer_id) AS top FROM t) SELECT customer_id, ts, round(CASE WHEN top > 55 THEN (temp - 32) * 5 / 9 ELSE temp END, 6) AS temp FROM x",
     "appliance_manifest": _T + " SELECT * FROM (SELECT customer_id, bool_or(type = 'AC' AND value_kw_mean <> 0) AS has_ac, bool_or(type = 'HP' AND value_kw_mean <> 0) AS has_hp FROM training WHERE type <> 'TOT' GROUP BY 1) WHERE has_ac OR has_hp",
