@@ -43,10 +43,12 @@ SEPARATORS = " .-_*'~,/\\"
 #: Channel costs (negative log probabilities) of a substitution (or of a digit that is meant, as likely
 #: inside a word), a run that shrinks, a separator or sign that stays. A separator that goes is free.
 SUBSTITUTED, SHRUNK, STAYED = 2.0, 1.0, 4.0
-SUSPECT = re.compile(
-    rb"(?<![A-Za-z0-9])[A-Za-z0-9@$!|](?:[ .\-_*'~,/\\]{1,2}[A-Za-z0-9@$!|](?![A-Za-z0-9\x80-\xff])){2,}"  # letters spaced out
-    rb"|[A-Za-z0-9@$!|+\x80-\xff]*(?:[A-Za-z][0-9@$!|+(<]+[A-Za-z]|(?<![^\s])[@$!|0-9]+[A-Za-z]{2}|[A-Za-z]{2}[0-9@$|]+(?=\s|$)|([A-Za-z])\1\1|[A-Za-z][*._\-][A-Za-z][*._\-][A-Za-z])[A-Za-z0-9@$!|+*._\-\x80-\xff]*"
-)
+#: Letters spaced out; what is suspect inside a token; bytes that may stand before and after that in its span.
+SPACED = re.compile(rb"(?<![A-Za-z0-9])[A-Za-z0-9@$!|](?:[ .\-_*'~,/\\]{1,2}[A-Za-z0-9@$!|](?![A-Za-z0-9\x80-\xff])){2,}")
+_CORE = rb"[A-Za-z][0-9@$!|+(<]+[A-Za-z]|(?<![^\s])[@$!|0-9]+[A-Za-z]{2}|[A-Za-z]{2}[0-9@$|]+(?=\s|$)|([A-Za-z])\1\1|[A-Za-z][*._\-][A-Za-z][*._\-][A-Za-z]"
+CORE = re.compile(rb"(?=(" + _CORE.replace(rb"\1\1", rb"\2\2") + rb"))")
+BEFORE = re.compile(rb"[A-Za-z0-9@$!|+\x80-\xff]+")
+AFTER = re.compile(rb"[A-Za-z0-9@$!|+*._\-\x80-\xff]*")
 #: Longest span that is remembered once decoded; longer ones are decoded each time.
 LONGEST_KNOWN = 64
 CLASSES = 64
@@ -123,6 +125,39 @@ def restore(span: str, cost: np.ndarray) -> str:
     return "".join(reversed(text))[:-1]
 
 
+def suspect_spans(raw: bytes) -> list[tuple[int, int]]:
+    """Where obfuscation may be: letters spaced out, or a token's run of BEFORE up to its last core and what AFTER
+    takes behind that; from left to right, at one start letters spaced out first. Linear in the bytes."""
+    cores = [(m.start(), m.end(1)) for m in CORE.finditer(raw)]
+    spaced = SPACED.search(raw)
+    if not cores:
+        return [m.span() for m in SPACED.finditer(raw)] if spaced else []
+    out, at, k = [], 0, 0
+    for run in BEFORE.finditer(raw):
+        hi = run.end()
+        # a run is left at its end, or earlier by letters spaced out that end inside it
+        while at < hi:
+            lo = max(run.start(), at)
+            while spaced and spaced.start() < at:
+                spaced = SPACED.search(raw, at)
+            while k < len(cores) and cores[k][0] < lo:
+                k += 1
+            last = k
+            while last < len(cores) and cores[last][0] < hi:
+                last += 1
+            token = last > k
+            if spaced and spaced.start() < hi and (not token or spaced.start() <= lo):
+                out.append(spaced.span())
+                at = spaced.end()
+            elif token:
+                at = AFTER.match(raw, cores[last - 1][1]).end()
+                out.append((lo, at))
+                k = last
+            else:
+                break
+    return out
+
+
 def suspect_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges, cut at white space, around every place where obfuscation may be."""
     n = len(data)
@@ -161,8 +196,7 @@ class Restorer:
     def __init__(self, cost: np.ndarray):
         self.cost, self.known = cost, {}
 
-    def span(self, m: re.Match) -> bytes:
-        raw = m[0]
+    def span(self, raw: bytes) -> bytes:
         got = self.known.get(raw)
         if got is None:
             try:
@@ -174,6 +208,13 @@ class Restorer:
         # what was written stays beside what it was restored to
         return raw if got == raw.lower() else raw + b" " + got
 
+    def window(self, raw: bytes) -> bytes:
+        parts, at = [], 0
+        for lo, hi in suspect_spans(raw):
+            parts += [raw[at:lo], self.span(raw[lo:hi])]
+            at = hi
+        return b"".join([*parts, raw[at:]]) if parts else raw
+
     def texts(self, column) -> list[bytes]:
         """The restored texts of a string column. Only tokens around an anchor are looked at closely."""
         data, offsets = utf8(column)
@@ -185,7 +226,7 @@ class Restorer:
             parts, at = [], int(offsets[row])
             for k in np.flatnonzero(rows == row) if len(rows) < 64 else range(np.searchsorted(rows, row), np.searchsorted(rows, row, "right")):
                 lo, hi = int(starts[k]), int(min(stops[k], offsets[row + 1]))
-                parts += [raw[at:lo], SUSPECT.sub(self.span, raw[lo:hi])]
+                parts += [raw[at:lo], self.window(raw[lo:hi])]
                 at = hi
             out[row] = b"".join([*parts, raw[at : offsets[row + 1]]])
         return out
@@ -378,9 +419,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with score (0 to 1) of toxicity."""
+    """docs with __score (0 to 1) of toxicity; a column of docs with that name is replaced. Documents with a null id are
+    scored like others, and none of them is learnt from."""
     cost, known, odds, beta = fit(docs, labels)
-    names = docs.columns
+    names = [c for c in docs.columns if c != "__score"]
+    docs = docs.select([F.col(f"`{c}`") for c in names])
 
     def score(batches):
         restorer, found = Restorer(cost.value), Known(known.value)
