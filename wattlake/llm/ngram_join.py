@@ -11,16 +11,15 @@ bound the overlap from above, and only pairs that pass are compared by exact int
 sorted arrays. Nothing is capped: large keys are cut into square tiles.
 
 Null, empty and white-space texts: no shingle, linked with nothing. Texts of one to four words: the
-whole sequence is one shingle. jaccard_components needs ids: rows that repeat a doc_id with another text
-are not expected, equal rows repeated give equal result rows; one_of_each takes null and repeated ids.
-Other columns are ignored.
+whole sequence is one shingle. Rows are told apart by id and text, so that null and repeated ids are no
+hindrance; equal rows repeated give equal result rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import components, read, written
@@ -243,9 +242,27 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").distinct()
 
 
+def row_key() -> Column:
+    """What tells documents apart: a hash of id and text, so that a null or repeated id is no hindrance."""
+    return F.xxhash64(F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), "text"))
+
+
 def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id long, text string)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, n_shingles, component_id of every row of docs (doc_id, text).
+
+    Rows that repeat an id with another text are documents of their own; the component is the smallest id that any row of
+    it has (null where none has one). Rows without a shingle have their own id."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("doc_id"), "text")
+    comp = key_components(keyed.select("doc_id", "text"), n, percent).distinct()
+    rows = written(keyed.select("id", "doc_id").join(comp, "doc_id"))
+    # written, so that a component with very many rows is cut in this join
+    least = written(rows.groupBy("component_id").agg(F.min("id").alias("least")))
+    return rows.join(least, "component_id").select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def key_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of docs (doc_id long, text string), whose ids are not null and each stand for
+    one text."""
     sig = written(signatures(docs, hashed_counts(docs, n), n, percent))
     sets = sig.where("n > 0").select("doc_id", "n", "d0", "d1")
     classes = sets.groupBy("d0", "d1", "n").agg(F.min("doc_id").alias("rep"))
@@ -276,8 +293,8 @@ def one_of_each(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> Da
     """One row of docs for each component: that of the smallest doc_id, rows without an id last. Rows are
     told apart by doc_id and text, so that a null or repeated id is no hindrance; of equal ones, copies
     of each other, one stays. All rows without a shingle stay."""
-    row = F.xxhash64(F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), "text"))
-    comp = jaccard_components(docs.select(row.alias("doc_id"), "text"), n, percent).withColumnRenamed("doc_id", "__row").distinct()
+    row = row_key()
+    comp = key_components(docs.select(row.alias("doc_id"), "text"), n, percent).withColumnRenamed("doc_id", "__row").distinct()
     facts = docs.select(row.alias("__row"), F.col("doc_id").cast("long").alias("id")).groupBy("__row").agg(F.min("id").alias("id"), F.count("*").alias("times"))
     facts = written(facts.join(comp, "__row"))
     first = facts.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(F.struct("__row", "times"), F.struct(F.col("id").isNull(), "id", "__row")).alias("r"))
