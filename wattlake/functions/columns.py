@@ -105,3 +105,12 @@ def wilson(k, n, z: float = 1.96) -> tuple[Column, Column]:
 
 def season(ts, months: tuple[int, ...]) -> Column:
     return F.month(col(ts)).isin(*months)
+
+
+def day_night_balance(load, rad, threshold: float = 50.0, unknown_is_night: bool = True) -> Column:
+    """Aggregate: balance of the mean load by day (radiation over the threshold) and by night; rows without radiation
+    are night, or take no part."""
+    load, rad = col(load), col(rad)
+    day = F.coalesce(rad > threshold, F.lit(False))
+    night = ~day if unknown_is_night else F.coalesce(rad <= threshold, F.lit(False))
+    return balance(F.avg(F.when(day, load)), F.avg(F.when(night, load)))

@@ -180,6 +180,39 @@ def evaluation_dashboard(results: DataFrame, bins: int = 40) -> DataFrame:
     return panel("capacity", "pv_capacity_kwp").unionByName(panel("sc_share", "sc_share")).unionByName(flags.select(F.lit("flags").alias("panel"), "label", "n"))
 
 
+def hp_mix(results: DataFrame) -> DataFrame:
+    """hp_type, n."""
+    return results.groupBy("hp_type").agg(F.count("*").alias("n"))
+
+
+def ev_energy_histogram(results: DataFrame, bins: int = 30) -> DataFrame:
+    """Histogram of the yearly energy beside the search for electric cars, above 0."""
+    return spread_histogram(results.select(number(results, ("ev_yearly_mwh", "ev_energy_mwh")).alias("v")).where("v > 0"), "v", bins)
+
+
+def with_production(results: DataFrame, indicators: DataFrame) -> DataFrame:
+    """results with yearly_prod of the indicators, where they have no such column of their own."""
+    if "yearly_prod" in results.columns or "yearly_prod_kwh" in results.columns:
+        return results
+    return results.join(indicators.select("customer_id", F.col("yearly_prod_kwh").alias("yearly_prod")), "customer_id", "left")
+
+
+def dashboard_points(results: DataFrame, indicators: DataFrame) -> DataFrame:
+    """customer_id, kwp, kwh: capacity against yearly production, a point for each customer that has both."""
+    both = with_production(results, indicators)
+    kwh = F.col("yearly_prod" if "yearly_prod" in both.columns else "yearly_prod_kwh")
+    return both.select("customer_id", F.col("pv_capacity_kwp").alias("kwp"), kwh.alias("kwh")).where("kwp is not null and kwh is not null")
+
+
+def late_merge(results: DataFrame, steps: dict[str, DataFrame]) -> DataFrame:
+    """results with the step tables whose telling column (has_pv, pv_capacity_kwp) they lack: full outer joins on the customer,
+    of columns that both have that of results stays."""
+    for column, step in steps.items():
+        if column not in results.columns:
+            results = results.join(step.select("customer_id", *[c for c in step.columns if c not in results.columns]), "customer_id", "full")
+    return results
+
+
 def capacity_validation(aligned: DataFrame, capacities: DataFrame, efficiency: float = 0.15) -> DataFrame:
     """Measured and modelled kWh of each quarter-hour of customers with a capacity: radiation (0 at least) in kW/m2 times
     kWp times efficiency, with the weather beside it. aligned: meter rows with weather; capacities: customer_id, kwp."""

@@ -128,3 +128,22 @@ def runs(df: DataFrame, mask, value: str, least: int, most_spread: float, by: st
     rows = rows.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("__m")
     out = rows.groupBy(by, "__run").agg(F.min(ts).alias("start"), F.count("*").alias("n"), F.avg(value).alias("mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"))
     return out.where((F.col("n") >= least) & (F.col("mean") > 0) & (F.try_divide("std", "mean") <= most_spread)).drop("__run")
+
+
+def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
+    """df with {col}_norm: distance to the mean in sample deviations, over all rows or within `by`; 0 where a column does
+    not vary. Statistics are aggregates that meet the rows again, not windows over a whole group."""
+    stats = [f(c).alias(f"__{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))]
+    if by:
+        one = df.groupBy(*by).agg(*stats)
+        both = df.join(one.select(*[F.col(k).alias(f"__k_{k}") for k in by], *[c for c in one.columns if c not in by]), [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by])
+    else:
+        both = df.crossJoin(F.broadcast(df.agg(*stats)))  # one row
+    norm = {f"{c}_norm": F.when(F.col(f"__s_{c}") > 0, (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}")).otherwise(0.0) for c in cols}
+    return both.withColumns(norm).select(*df.columns, *norm)
+
+
+def first_keys(df: DataFrame, n: int, by: str = "customer_id") -> DataFrame:
+    """The rows of the n smallest keys."""
+    few = df.select(by).where(F.col(by).isNotNull()).distinct().orderBy(by).limit(n)
+    return df.join(few, by, "left_semi")

@@ -45,3 +45,14 @@ def calendar(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 def temperature_bands(df: DataFrame, temp: str = "t_2m_c", hot: float = 25.0, cold: float = 10.0) -> DataFrame:
     return df.withColumns({"is_hot": F.col(temp) > hot, "is_cold": F.col(temp) < cold, "cdd": degrees_above(temp), "hdd": degrees_below(temp)})
+
+
+def evening_start(rows: DataFrame, by: list[str] | None = None, below: float = 20.0, ts: str = "ts", rad: str = "global_rad_w") -> DataFrame:
+    """by, date, peak, evening: the first time of a day's highest radiation, and the first time from there on at which it
+    lies under `below` (null on days that stay above). Days without radiation have no row."""
+    keys = [*(by or []), "date"]
+    day = Window.partitionBy(*keys)
+    seen = rows.where(F.col(rad).isNotNull()).withColumn("date", F.to_date(ts)).withColumn("__top", F.max(rad).over(day))
+    seen = seen.withColumn("__peak", F.min(F.when(F.col(rad) == F.col("__top"), F.col(ts))).over(day))
+    late = (F.col(ts) >= F.col("__peak")) & (F.col(rad) < below)
+    return seen.groupBy(*keys).agg(F.min("__peak").alias("peak"), F.min(F.when(late, F.col(ts))).alias("evening"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import appliances as ap
 from ..operators import battery, ev, pv
 from ..sources import adapters as A
+from ..sources import readers
 from .pipeline import join_scalar as pipeline_join
 from .series_queries import AL, CAP_SQL, CDAY_SQL, DAY_SQL, EV, FACTS_SQL, INDICATORS_SQL, M, W, _STEP, aligned, rounded, with_sql
 from .shipping import materialised
@@ -94,8 +95,9 @@ def f_to_c(spark, d):
 
 def appliance_manifest(spark, d):
     """Customers with any non-zero appliance curve, one flag each."""
-    flags = train(spark, d).where("type <> 'TOT'").groupBy("customer_id").agg(*[F.bool_or((F.col("type") == k) & (F.col("value_kw_mean") != 0)).alias(f"has_{k.lower()}") for k in ("AC", "HP")])
-    return flags.where("has_ac or has_hp")
+    wide = train(spark, d).where("type <> 'TOT'").groupBy("customer_id", "ts").pivot("type", ["AC", "HP"]).agg(F.first("value_kw_mean"))
+    found = readers.appliance_households(wide.select(F.lit("r").alias("region"), F.col("customer_id").alias("dataid"), "AC", "HP"), {"ac": ["AC"], "hp": ["HP"]})
+    return found.select(F.col("dataid").alias("customer_id"), "has_ac", "has_hp")
 
 
 def pv_facts(spark, d):
@@ -221,13 +223,13 @@ a AS (SELECT kw.*, net - coalesce(base, 0) AS active, pv - lag(pv) OVER w AS dp,
 f AS (SELECT 'grid' AS kind, customer_id, ts, active AS v, active >= 0.4 AS m FROM a UNION ALL SELECT 'pv', customer_id, ts, net, coalesce(dp < -0.5 AND std4 < 0.25 AND net > 0.8, FALSE) FROM a),
 g AS (SELECT *, CASE WHEN m IS DISTINCT FROM lag(m) OVER (PARTITION BY kind, customer_id ORDER BY ts) THEN 1 ELSE 0 END AS new FROM f),
 h AS (SELECT *, sum(new) OVER (PARTITION BY kind, customer_id ORDER BY ts) AS run FROM g),
-s AS (SELECT customer_id, min(ts) AS start, count(*) AS n, avg(v) AS mean FROM h WHERE m GROUP BY kind, customer_id, run HAVING count(*) >= 3 AND avg(v) > 0 AND coalesce(stddev_samp(v), 0) / avg(v) <= 0.6),
+s AS (SELECT customer_id, kind, min(ts) AS start, count(*) AS n, avg(v) AS mean FROM h WHERE m GROUP BY kind, customer_id, run HAVING count(*) >= 3 AND avg(v) > 0 AND coalesce(stddev_samp(v), 0) / avg(v) <= 0.6),
 w AS (SELECT customer_id, max(k) AS per_week FROM (SELECT customer_id, date_trunc('week', start) AS wk, count(*) AS k FROM s GROUP BY ALL) GROUP BY 1),
-o AS (SELECT customer_id, count(*) AS sessions, avg(mean) AS kw, avg(mean * n * 0.25::DOUBLE) AS kwh, stddev_samp(mean * n * 0.25::DOUBLE) / (avg(mean * n * 0.25::DOUBLE) + 1e-6) AS uneven FROM s GROUP BY 1),
+o AS (SELECT customer_id, count(*) AS sessions, count(*) FILTER (kind = 'grid') AS ng, count(*) FILTER (kind = 'pv') AS np, avg(mean) AS kw, avg(mean * n * 0.25::DOUBLE) AS kwh, stddev_samp(mean * n * 0.25::DOUBLE) / (avg(mean * n * 0.25::DOUBLE) + 1e-6) AS uneven FROM s GROUP BY 1),
 y AS (SELECT customer_id, sum(conso_kwh) / 1000 AS yearly_mwh FROM meter GROUP BY 1),
-x AS (SELECT y.*, sessions, yearly_mwh >= 100 AS filtered, 0.30::DOUBLE / (1 + exp(-0.4::DOUBLE * (sessions - 8))) + 0.25::DOUBLE / (1 + exp(-1.2::DOUBLE * (per_week - 2))) + 0.20::DOUBLE * least(greatest((kw - 0.8::DOUBLE) / 1.7::DOUBLE, 0), 1)
+x AS (SELECT y.*, sessions, ng, np, yearly_mwh >= 100 AS filtered, 0.30::DOUBLE / (1 + exp(-0.4::DOUBLE * (sessions - 8))) + 0.25::DOUBLE / (1 + exp(-1.2::DOUBLE * (per_week - 2))) + 0.20::DOUBLE * least(greatest((kw - 0.8::DOUBLE) / 1.7::DOUBLE, 0), 1)
   + 0.15::DOUBLE * least(greatest((kwh - 4) / 16, 0), 1) + 0.10::DOUBLE * (CASE WHEN uneven IS NULL THEN 1 ELSE least(greatest(1 - uneven, 0), 1) END) AS score FROM y LEFT JOIN o USING (customer_id) LEFT JOIN w USING (customer_id)),
-ev AS (SELECT customer_id, yearly_mwh, filtered, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(sessions, 0) END AS BIGINT) AS sessions, CASE WHEN filtered OR sessions IS NULL THEN 0.0::DOUBLE ELSE round(least(greatest(score, 0), 1), 3) END AS prob_ev FROM x)"""
+ev AS (SELECT customer_id, yearly_mwh, filtered, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(sessions, 0) END AS BIGINT) AS sessions, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(ng, 0) END AS BIGINT) AS grid_sessions, CAST(CASE WHEN filtered THEN 0 ELSE coalesce(np, 0) END AS BIGINT) AS pv_sessions, CASE WHEN filtered OR sessions IS NULL THEN 0.0::DOUBLE ELSE round(least(greatest(score, 0), 1), 3) END AS prob_ev FROM x)"""
 _FACTS = with_sql(M, W, AL, DAY_SQL, CDAY_SQL, INDICATORS_SQL, CAP_SQL, FACTS_SQL)
 _BATTERY = _FACTS + """,
 bm AS (SELECT m.*, w.t_2m_c AS temp, w.global_rad_w AS rad FROM meter m ASOF LEFT JOIN weather w ON m.ts >= w.ts),
@@ -269,14 +271,14 @@ SELECT customer_id, ts, round(CASE WHEN kwp > 0 THEN greatest(coalesce(conso_kwh
     "join_scalar": "SELECT customer_id, has_pv::INT::DOUBLE AS has_pv, round(prob_pv, 6) AS prob_pv, round(pv_capacity_kwp, 6) AS pv_capacity_kwp, has_ev::INT::DOUBLE AS has_ev, prob_ev, n_night_rows::DOUBLE AS n_night_rows, has_ac::INT::DOUBLE AS has_ac FROM (" + _FACTS + " SELECT * FROM pvf) FULL JOIN (" + _EV
     + " SELECT customer_id, prob_ev >= 0.8 AS has_ev, prob_ev FROM ev WHERE sessions > 0) USING (customer_id) FULL JOIN (" + _L + _HP_FEATURES + " SELECT customer_id, n_night_rows FROM hf) USING (customer_id) FULL JOIN ("
     + _T + _AC_LABEL + " SELECT customer_id, reason IN ('all_year_corr', 'hot_check', 'summer_mean_positive') AS has_ac FROM l) USING (customer_id)",
-    "ev_detect": _EV + " SELECT customer_id, round(yearly_mwh, 6) AS yearly_mwh, filtered, sessions, prob_ev, prob_ev >= 0.8 AS has_ev FROM ev",
+    "ev_detect": _EV + " SELECT customer_id, round(yearly_mwh, 6) AS yearly_mwh, filtered, sessions, grid_sessions, pv_sessions, prob_ev, prob_ev >= 0.8 AS has_ev FROM ev",
     "ev_sessions": with_sql(EV, _STEP) + """,
-g AS (SELECT customer_id, ts, coalesce(total, 0) AS c, coalesce(total, 0) - lag(coalesce(total, 0)) OVER (PARTITION BY customer_id ORDER BY ts) AS diff FROM filled),
+g AS (SELECT customer_id, ts, coalesce(total, 0) AS c, coalesce(total, 0) - lag(coalesce(total, 0)) OVER (PARTITION BY customer_id ORDER BY ts) AS diff, lag(coalesce(total, 0)) OVER (PARTITION BY customer_id ORDER BY ts) AS before FROM filled),
 n AS (SELECT *, min(CASE WHEN diff < -0.1 THEN ts END) OVER (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS fall FROM g),
 e AS (SELECT customer_id, ts AS start, fall AS "end" FROM n WHERE diff > 0.1 AND fall IS NOT NULL),
 k AS (SELECT e.customer_id, start, "end", sum(c) AS energy_kwh, min(c) AS least FROM e JOIN g ON g.customer_id = e.customer_id AND g.ts >= start AND g.ts < "end" GROUP BY ALL)
-SELECT customer_id, start, "end", CAST(date_diff('minute', start, "end") AS INTEGER) AS minutes, round(energy_kwh, 6) AS energy_kwh, strftime(start + to_hours(1), '%d.%m.%Y %H:%M') AS start_local, strftime("end" + to_hours(1), '%d.%m.%Y %H:%M') AS end_local, strftime(start + to_hours(1), '%Y-%m-%d') AS date_local
-FROM k WHERE least >= 0.1 AND date_diff('minute', start, "end") >= 30""",
+SELECT k.customer_id, start, "end", CAST(date_diff('minute', start, "end") AS INTEGER) AS minutes, round(date_diff('minute', start, "end") / 60, 6) AS duration_h, round(g1.before, 6) AS before_start_kwh, round(g1.c, 6) AS start_kwh, round(g2.before, 6) AS before_end_kwh, round(g2.c, 6) AS end_kwh, round(energy_kwh, 6) AS energy_kwh, strftime(start + to_hours(1), '%d.%m.%Y %H:%M') AS start_local, strftime("end" + to_hours(1), '%d.%m.%Y %H:%M') AS end_local, strftime(start + to_hours(1), '%Y-%m-%d') AS date_local
+FROM k JOIN g g1 ON g1.customer_id = k.customer_id AND g1.ts = start JOIN g g2 ON g2.customer_id = k.customer_id AND g2.ts = "end" WHERE least >= 0.1 AND date_diff('minute', start, "end") >= 30""",
     "hp_features": _L + _HP_FEATURES + " SELECT * FROM hf",
     "ac_features": _L + _AC_FEATURES + " SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)",
     "user_profile_ac": _L + _profile(50, 0.30) + f" SELECT customer_id, {_PCOLS} FROM p",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import slot_of_day
+from ..operators import charts as ch
 from ..operators import portfolio as pf
 from ..operators.weather import weather_day
 from ..sources import adapters as A
@@ -34,7 +35,7 @@ QUERIES = {
     "yield_gross": on_results(pf.yield_gross), "yield_export": on_results(pf.yield_export), "evaluate_agreement": on_results(pf.evaluate_agreement),
     "battery_summary": on_results(pf.battery_summary), "battery_overview": on_results(pf.battery_overview), "adoption_wilson": on_results(pf.adoption), "cooccurrence": on_results(pf.cooccurrence), "exclusive_pairs": on_results(pf.exclusive_pairs),
     "probability_hist": on_results(lambda r: pf.histogram(pf.long_flags(r), "prob", 0.0, 1.0, 30, ["appliance"])), "capacity_hist": on_results(pf.capacity_histogram), "battery_status_top": on_results(pf.status_breakdown), "battery_box": on_results(pf.box_statistics),
-    "hp_mix": on_results(lambda r: r.groupBy("hp_type").agg(F.count("*").alias("n"))), "matched_days_hist": on_results(lambda r: pf.days_histogram(r, "n_matched_sunny_days")),
+    "hp_mix": on_results(ch.hp_mix), "matched_days_hist": on_results(lambda r: pf.days_histogram(r, "n_matched_sunny_days")),
     "hp_kde": on_results(lambda r: pf.density(r.where("has_hp"), "hp_energy_kwh")), "high_low_profile": high_low_profile, "heatmap": heatmap,
 }
 

@@ -1,8 +1,8 @@
 """All queries of the domain and the SQL they are held against."""
 
-from . import chart_queries, load_queries, model_queries, portfolio_queries, series_queries, training_queries
+from . import chart_queries, kernel_queries, load_queries, model_queries, portfolio_queries, series_queries, training_queries
 
-_MODULES = [series_queries, load_queries, portfolio_queries, chart_queries, model_queries, training_queries]
+_MODULES = [series_queries, load_queries, portfolio_queries, chart_queries, kernel_queries, model_queries, training_queries]
 
 
 def queries():

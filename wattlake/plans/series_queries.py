@@ -154,10 +154,7 @@ def pv_capacity_blocks(spark, d):
 
 
 def zscore(spark, d):
-    m = A.meter(spark, d)
-    s = m.agg(F.avg("conso_kwh").alias("mu"), F.stddev_samp("conso_kwh").alias("sd"))  # one row
-    z = F.when(F.col("sd") > 0, (F.col("conso_kwh") - F.col("mu")) / F.col("sd")).otherwise(0.0)
-    return rounded(m.crossJoin(F.broadcast(s)).select("customer_id", "ts", z.alias("z")))
+    return rounded(timeseries.zscore(A.meter(spark, d), ["conso_kwh"]).select("customer_id", "ts", F.col("conso_kwh_norm").alias("z")))
 
 
 QUERIES = {

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.timeseries import interpolate, reindex
 
+METER = "customer_id string, ts timestamp_ntz, conso_kwh double, prod_kwh double"
 WEATHER = "ts timestamp_ntz, t_2m_c double, global_rad_w double"
 OHMIC_VOLTS = 208.0
 
@@ -27,14 +31,19 @@ def utc(name: str, dtype: str) -> Column:
 
 
 def read_meter(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
-    """customer_id, ts, conso_kwh, prod_kwh of all data files under path (metadata files are left out);
-    production may be absent. ids: customer_id to keep."""
-    raw = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    """customer_id, ts, conso_kwh, prod_kwh of all data files under path (metadata files are left out); production may be
+    absent. ids: customer_id to keep. Unreadable files, and rows of files that lack an id or a time, are left out; where no
+    file has the columns, or there is none, the table is empty."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("mergeSchema", "true")
+    try:
+        raw = reader.parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], METER)
     raw = raw.where(~F.lower(F.col("_metadata.file_name")).contains("metadata"))
     kinds = dict(raw.dtypes)
-    missing = {"ID", "DT_UTC", "CONSO_KWH"} - set(kinds)
-    if missing:
-        raise ValueError(f"meter files lack {sorted(missing)}")
+    if {"ID", "DT_UTC", "CONSO_KWH"} - set(kinds):
+        return spark.createDataFrame([], METER)
+    raw = raw.where("ID is not null and DT_UTC is not null")
     prod = number("PROD_KWH") if "PROD_KWH" in kinds else F.lit(None).cast("double")
     rows = raw.select(F.col("ID").cast("string").alias("customer_id"), utc("DT_UTC", kinds["DT_UTC"]).alias("ts"), number("CONSO_KWH").alias("conso_kwh"), prod.alias("prod_kwh"))
     return rows if ids is None else rows.join(ids.select("customer_id"), "customer_id", "left_semi")
@@ -132,6 +141,83 @@ def read_station_sessions(spark: SparkSession, path: str, zone: str = "America/L
     return q.select(F.lit("EV").alias("type"), F.lit("station").alias("source"), F.col("spaceID").alias("customer_id"), F.from_utc_timestamp("at", F.col("zone")).alias("ts"), "value_kw_mean")
 
 
+#: Fixed value: how the files of a region's circuits are named.
+REGION_FILE = r"15minute_data_([^/.]+)"
+
+
+def available_regions(spark: SparkSession, path: str) -> DataFrame:
+    """region, file of every circuit table under path. Files are listed by Spark, and their contents are not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    region = F.regexp_extract("path", REGION_FILE, 1)
+    return listed.select(region.alias("region"), F.regexp_extract("path", rf"^(.*{REGION_FILE}[^/]*)", 1).alias("file")).where("region <> ''").distinct()
+
+
+def read_regions(spark: SparkSession, path: str, regions: list[str] | None = None, ids: list[int] | None = None, circuits: list[str] | None = None) -> DataFrame:
+    """read_circuits of the regions found under path, or of those asked for; one that is absent fails. Files of other
+    regions are never opened."""
+    found = {r.region: r.file for r in available_regions(spark, path).collect()}  # a row a region
+    missing = set(regions or ()) - set(found)
+    if missing or not found:
+        raise FileNotFoundError(f"no circuits of {sorted(missing) or 'any region'} under {path}")
+    return read_circuits(spark, {r: f for r, f in found.items() if not regions or r in regions}, ids, circuits)
+
+
+def read_vehicles(spark: SparkSession, path: str) -> DataFrame:
+    """The table of electric vehicles (CSV with a header), with types as its values have them; a missing file fails."""
+    return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+
+
+def read_hourly_weather(spark: SparkSession, path: str, time: str = "localhour") -> DataFrame:
+    """The sub-meter sites' hourly weather (CSV with a header): ts from the local hour, whose offset falls away, and all
+    other columns, as numbers where all their values are."""
+    reader = spark.read.option("header", "true")
+    kinds = reader.option("inferSchema", "true").csv(path).dtypes
+    # the time as text: as a timestamp its offset would be applied
+    raw = reader.schema(", ".join(f"`{c}` {'string' if c == time else kind}" for c, kind in kinds)).csv(path)
+    ts = F.to_timestamp(F.regexp_replace(F.col(time), r"([+-]\d{2})(:?\d{2})?$", "")).cast("timestamp_ntz")
+    return raw.select(ts.alias("ts"), *[F.col(f"`{c}`") for c in raw.columns if c != time])
+
+
+def read_training(spark: SparkSession, path: str) -> DataFrame:
+    """type, source, customer_id, ts, value_kw_mean, temp, glob_rad and ordinal (file and row, which order the input) of a
+    training table; FileNotFoundError without one, ValueError where it lacks columns."""
+    try:
+        raw = spark.read.parquet(path)
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no training table at {path}") from e
+    kinds = dict(raw.dtypes)
+    who, when = ("id_customer" if "id_customer" in kinds else "customer_id"), ("dt_utc" if "dt_utc" in kinds else "ts")
+    missing = {"type", "source", who, when, "value_kw_mean", "temp", "glob_rad"} - set(kinds)
+    if missing:
+        raise ValueError(f"the training table lacks {sorted(missing)}")
+    ordinal = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return raw.select("type", "source", F.col(who).cast("string").alias("customer_id"), utc(when, kinds[when]).alias("ts"), number("value_kw_mean").alias("value_kw_mean"), number("temp").alias("temp"), number("glob_rad").alias("glob_rad"), ordinal.alias("ordinal"))
+
+
+def cached_weather(spark: SparkSession, path: str, fetch: Callable[[date, date], DataFrame], start: date, end: date) -> DataFrame:
+    """ts, t_2m_c, global_rad_w of the days start to end from a table at path that keeps what was fetched before.
+
+    fetch(first, last) gives these columns for whole days; it is called once for each run of days that the table lacks. Days
+    are partitions, and a day is written anew as a whole, so that a fetch that broke off is repeated without harm; days
+    that the source has no rows for are remembered as fetched."""
+    rows, days = f"{path}/rows", f"{path}/days"
+
+    def stored(where: str, schema: str) -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(where)
+        except AnalysisException:
+            return spark.createDataFrame([], schema)
+
+    wanted = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date"))
+    lacking = wanted.join(stored(days, "date date"), "date", "left_anti")
+    run = F.date_sub("date", F.row_number().over(Window.orderBy("date")))  # a row a day of the window
+    for gap in lacking.withColumn("run", run).groupBy("run").agg(F.min("date").alias("first"), F.max("date").alias("last")).orderBy("first").collect():
+        found = fetch(gap.first, gap.last).select("ts", "t_2m_c", "global_rad_w").withColumn("date", F.to_date("ts")).where(F.col("date").between(F.lit(gap.first), F.lit(gap.last)))
+        found.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(rows)
+        spark.range(1).select(F.explode(F.sequence(F.lit(gap.first), F.lit(gap.last))).alias("date")).coalesce(1).write.mode("append").parquet(days)
+    return stored(rows, f"{WEATHER}, date date").where(F.col("date").between(F.lit(start), F.lit(end))).select("ts", "t_2m_c", "global_rad_w")
+
+
 def write_step(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
