@@ -20,6 +20,7 @@ scored and counted each. Other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -121,8 +122,10 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, ...]:
         paths.append(path[::-1])
     length = np.array([len(p) for p in paths])
     begin = np.cumsum(length) - length
-    # the nodes nearest to the root, numbered last, get slots of their own
-    node = np.array([x % NEAR for p in paths for x, _ in p], np.uint32)
+    # the nodes nearest to the root, numbered last, get slots of their own; the others share the rest
+    own = NEAR // 2
+    from_root = [SYMBOLS - 2 - x for p in paths for x, _ in p]
+    node = np.array([x if x < own else own + x % own for x in from_root], np.uint32)
     bit = np.array([x for p in paths for _, x in p], np.uint32)
     gate = np.array([min(d, DEPTHS - 1) * PLACES for p in paths for d in range(len(p))])
     return length, begin, node, bit, gate
@@ -269,7 +272,8 @@ def token_counts(train: DataFrame) -> DataFrame:
 
 
 def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte (the model's bits over the text's
+    UTF-8 bytes; null for an empty text) of every row of docs."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("fold", fold(F.col("doc_id")))
     train = docs.where(F.col("fold") != HELD_OUT)
@@ -314,16 +318,17 @@ def scores(docs: DataFrame) -> DataFrame:
                 rest = np.flatnonzero(~found)
                 tail_at = np.searchsorted(row[rest], np.arange(p.num_rows + 1))
                 tail = pa.ListArray.from_arrays(pa.array(tail_at, pa.int32()), pa.array(h[rest], pa.int64()))
-                yield pa.RecordBatch.from_arrays([p.column("rid"), p.column("doc_id"), p.column("fold"), pa.array(np.diff(at) + 1), pa.array(n_known), pa.array(base), pa.array(price), tail], ["rid", "doc_id", "fold", "n_tokens", "n_known", "base", "score", "tail"])
+                size = pa.array(np.diff(utf8(p.column("text"))[1]))
+                yield pa.RecordBatch.from_arrays([p.column("rid"), p.column("doc_id"), p.column("fold"), pa.array(np.diff(at) + 1), pa.array(n_known), pa.array(base), pa.array(price), size, tail], ["rid", "doc_id", "fold", "n_tokens", "n_known", "base", "score", "size", "tail"])
 
     numbered = docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", F.col("fold").cast("long").alias("fold"), "text")
-    rows = written(numbered.mapInArrow(score, "rid long, doc_id long, fold long, n_tokens long, n_known long, base double, score double, tail array<long>"))
+    rows = written(numbered.mapInArrow(score, "rid long, doc_id long, fold long, n_tokens long, n_known long, base double, score double, size long, tail array<long>"))
     rare = rows.select("rid", F.explode("tail").alias("h")).groupBy("rid", "h").agg(F.count("*").alias("n"))
     more = rare.join(counts, "h").groupBy("rid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more"))
     out = rows.drop("tail").join(more, "rid", "left")
     return out.select(
         "doc_id", (F.col("fold") == HELD_OUT).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
+        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score", F.try_divide(-F.col("score") * math.log2(10), "size").alias("bits_per_byte"),
     )
 
 

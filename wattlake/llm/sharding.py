@@ -89,6 +89,15 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     return placed.unionByName(filled.select("doc_id", "size", "text_crc32", "key", "shard"))
 
 
+def cut_report(rows: DataFrame) -> DataFrame:
+    """One row of rows (text_crc32, size, shard): groups of several rows, links (one less than a group's rows), cuts (one less
+    than the shards a group lies in), the lightest and the heaviest shard in bytes."""
+    groups = rows.groupBy("text_crc32", "size", "shard").agg(F.count("*").alias("n")).groupBy("text_crc32", "size").agg(F.sum("n").alias("n"), F.count("*").alias("shards")).where("n > 1")
+    shards = rows.groupBy("shard").agg(F.sum("size").alias("bytes"))
+    links = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("links"), F.coalesce(F.sum(F.col("shards") - 1), F.lit(0)).alias("cuts"))
+    return links.crossJoin(shards.agg(F.min("bytes").alias("lightest"), F.max("bytes").alias("heaviest")))  # one row each
+
+
 def slotted(rows: DataFrame) -> DataFrame:
     """Adds slot: the rows of each shard numbered from 0, in hash order."""
     return before(rows.withColumn("one", F.lit(1)), ["shard"], ["key", "doc_id"], "one", "slot", "key").withColumn("slot", F.col("slot").cast("long")).drop("one")
