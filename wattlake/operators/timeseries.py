@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import from_micros, micros
 
 QUARTER = 15 * 60
+#: Seconds of the buckets of an as-of join without a tolerance.
+CARRY = 3600
 
 
 def asof_join(left: DataFrame, right: DataFrame, tolerance: int | None, direction: str = "backward", ts: str = "ts") -> DataFrame:
@@ -22,16 +24,17 @@ def asof_join(left: DataFrame, right: DataFrame, tolerance: int | None, directio
     times = left.select(F.col(ts).alias("__l")).where("__l is not null").distinct().withColumn("__lu", micros("__l"))
     rows = right.where(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("__r")).agg(F.max(F.struct(*cols)).alias("__row")).withColumn("__ru", micros("__r"))
     if tolerance is None:
-        # the last row of each day carries over the days; within a day the last row at or before wins
-        day = F.floor(F.col("__ru") / 86_400_000_000)
-        ends = rows.groupBy(day.alias("__day")).agg(F.max_by("__row", "__ru").alias("__carry"))
-        days = times.select(F.floor(F.col("__lu") / 86_400_000_000).alias("__day")).distinct()
-        w = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)  # one row a day of the calendar
-        carry = ends.join(days, "__day", "full").withColumn("__before", F.last("__carry", True).over(w)).select("__day", "__before")
-        t = times.withColumn("__day", F.floor(F.col("__lu") / 86_400_000_000))
-        same = t.join(rows.withColumn("__day", day), "__day", "left")
-        best = same.groupBy("__l", "__day").agg(F.max_by(F.when(F.col("__ru") <= F.col("__lu"), F.col("__row")), F.when(F.col("__ru") <= F.col("__lu"), F.col("__ru"))).alias("__in"))
-        best = best.join(carry, "__day", "left").select("__l", F.coalesce("__in", "__before").alias("__row"))
+        # the last row of each hour carries over the hours; within an hour the last row at or before wins
+        step = CARRY * 1_000_000
+        hour = F.floor(F.col("__ru") / step)
+        ends = rows.groupBy(hour.alias("__b")).agg(F.max_by("__row", "__ru").alias("__carry"))
+        t = times.withColumn("__b", F.floor(F.col("__lu") / step))
+        w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # one row an hour of the calendar
+        carry = ends.join(t.select("__b").distinct(), "__b", "full").withColumn("__before", F.last("__carry", True).over(w)).select("__b", "__before")
+        same = t.join(rows.withColumn("__b", hour), "__b", "left")
+        early = F.col("__ru") <= F.col("__lu")
+        best = same.groupBy("__l", "__b").agg(F.max_by(F.when(early, F.col("__row")), F.when(early, F.col("__ru"))).alias("__in"))
+        best = best.join(carry, "__b", "left").select("__l", F.coalesce("__in", "__before").alias("__row"))
     else:
         tol = tolerance * 1_000_000
         bucket = F.floor(F.col("__ru") / tol)
