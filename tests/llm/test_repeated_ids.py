@@ -1,5 +1,6 @@
 """Rows that share an id but no text, and rows without an id."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from wattlake.llm import line_dedup, ngram_join, toxicity
@@ -9,7 +10,9 @@ B = "red orange yellow green blue indigo violet black white grey"
 LONG = "z" * 40 + " this line comes back " + "q" * 40
 
 
-def test_components_of_repeated_and_null_ids(spark):
+@pytest.mark.parametrize("most", [0, ngram_join.ODD_IDS])
+def test_components_of_repeated_and_null_ids(spark, most, monkeypatch):
+    monkeypatch.setattr(ngram_join, "ODD_IDS", most)
     rows = [(1, A), (2, B), (3, A), (3, B), (None, B), (None, "alone in here"), (4, None), (4, ""), (5, A + " " + B)]
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len(rows)

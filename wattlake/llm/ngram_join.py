@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import components, read, written
@@ -35,6 +35,8 @@ COUNT_BITS = 22
 BITMAP_WORDS = 16
 #: Rows of one side of a tile.
 TILE = 2048
+#: Ids of several texts that go to the tasks.
+ODD_IDS = 1 << 16
 #: Pairs that a task holds to return each once.
 HELD_PAIRS = 1 << 20
 
@@ -242,9 +244,22 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").distinct()
 
 
-def row_key() -> Column:
-    """What tells documents apart: a hash of id and text, so that a null or repeated id is no hindrance."""
-    return F.xxhash64(F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), "text"))
+def with_rows(docs: DataFrame) -> DataFrame:
+    """docs with __row, a number for each pair of id and text: the id itself wherever it stands for one text, so that the
+    first document of a group leads its copies; a hash of both for null ids and for ids of several texts. Which ids those
+    are goes to the tasks up to ODD_IDS; beyond, every row has the hash."""
+    id_, text = F.col("doc_id").cast("long"), F.xxhash64("text")
+    mixed = F.xxhash64(F.struct(id_.isNull(), id_, F.col("text")))
+    several = docs.where("doc_id is not null").select(id_.alias("__id"), text.alias("t")).groupBy("__id").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi")
+    several = written(several.select("__id"))
+    n = several.count()
+    if n > ODD_IDS:
+        return docs.withColumn("__row", mixed)
+    odd = F.lit(False)
+    if n:
+        docs = docs.join(F.broadcast(several.withColumn("__odd", F.lit(True))), id_ == F.col("__id"), "left").drop("__id")
+        odd = F.coalesce("__odd", F.lit(False))
+    return docs.withColumn("__row", F.when(id_.isNull() | odd, mixed).otherwise(id_)).drop("__odd")
 
 
 def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -252,9 +267,9 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
 
     Rows that repeat an id with another text are documents of their own; the component is the smallest id that any row of
     it has (null where none has one). Rows without a shingle have their own id."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("doc_id"), "text")
-    comp = key_components(keyed.select("doc_id", "text"), n, percent).distinct()
-    rows = written(keyed.select("id", "doc_id").join(comp, "doc_id"))
+    keyed = with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    comp = key_components(keyed.select(F.col("__row").alias("doc_id"), "text"), n, percent).distinct()
+    rows = written(keyed.select(F.col("doc_id").alias("id"), F.col("__row").alias("doc_id")).join(comp, "doc_id"))
     # written, so that a component with very many rows is cut in this join
     least = written(rows.groupBy("component_id").agg(F.min("id").alias("least")))
     return rows.join(least, "component_id").select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
@@ -293,13 +308,13 @@ def one_of_each(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> Da
     """One row of docs for each component: that of the smallest doc_id, rows without an id last. Rows are
     told apart by doc_id and text, so that a null or repeated id is no hindrance; of equal ones, copies
     of each other, one stays. All rows without a shingle stay."""
-    row = row_key()
-    comp = key_components(docs.select(row.alias("doc_id"), "text"), n, percent).withColumnRenamed("doc_id", "__row").distinct()
-    facts = docs.select(row.alias("__row"), F.col("doc_id").cast("long").alias("id")).groupBy("__row").agg(F.min("id").alias("id"), F.count("*").alias("times"))
+    keyed = with_rows(docs)
+    comp = key_components(keyed.select(F.col("__row").alias("doc_id"), "text"), n, percent).withColumnRenamed("doc_id", "__row").distinct()
+    facts = keyed.select("__row", F.col("doc_id").cast("long").alias("id")).groupBy("__row").agg(F.min("id").alias("id"), F.count("*").alias("times"))
     facts = written(facts.join(comp, "__row"))
     first = facts.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(F.struct("__row", "times"), F.struct(F.col("id").isNull(), "id", "__row")).alias("r"))
     keep = first.select("r.__row", (F.col("r.times") > 1).alias("__several")).union(facts.where("n_shingles = 0").select("__row", F.lit(False)))
-    kept = docs.withColumn("__row", row).join(written(keep), "__row")
+    kept = keyed.join(written(keep), "__row")
     return kept.where("not __several").union(kept.where("__several").dropDuplicates(["__row"])).select(docs.columns)
 
 
