@@ -65,3 +65,17 @@ def test_features_of_some_months(spark):
     both = training.series_features(meter, w, "AC").first()
     assert july.n_rows < both.n_rows and july.season_balance is None and both.season_balance is not None
     assert training.series_features(meter.where("conso_kwh < 0"), w, "HP").count() == 0
+
+
+def test_density_is_that_of_every_value_at_every_place(spark):
+    import numpy as np
+
+    from wattlake.operators import portfolio
+
+    v = np.random.default_rng(2).gamma(2.0, 900.0, 400)
+    got = portfolio.density(spark.createDataFrame([(float(x),) for x in [*v, -3.0]], "e double"), "e", 200).orderBy("x").toPandas()
+    lo, hi, h = v.min(), v.max(), v.std(ddof=1) * 400**-0.2
+    x = lo - 0.5 * (hi - lo) + 2 * (hi - lo) * np.arange(200) / 199
+    want = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).mean(axis=1) / (h * np.sqrt(2 * np.pi))
+    assert np.allclose(got["x"], x) and np.allclose(got["density"], want, rtol=2e-5, atol=1e-16)
+    assert portfolio.density(spark.createDataFrame([(1.0,), (1.0,)], "e double"), "e").count() == 0
