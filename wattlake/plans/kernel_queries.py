@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_night_balance
@@ -10,9 +11,12 @@ from ..operators import timeseries as ts_
 from ..operators import training as tr
 from ..operators import weather as wx
 from ..sources import adapters as A
+from ..streaming import incremental
+from . import pipeline
 from .chart_queries import _R, _spread
 from .load_queries import _AC_FEATURES, _L
 from .series_queries import AL, EV, M, W, _STEP, aligned, rounded, with_sql
+from .shipping import ship
 
 
 def clean_series(spark, d):
@@ -73,7 +77,33 @@ def summer_features(spark, d):
     return rounded(tr.series_features(A.meter(spark, d), A.weather(spark), "AC", (6, 7, 8)))
 
 
-QUERIES = {f.__name__: f for f in (clean_series, zscore_by_customer, evening_window, evening_window_by_customer, day_night_share, first_customers, late_merge, dashboard_points, ev_energy_hist, summer_features)}
+def coverage_report(spark, d):
+    """Whether the weather covers the meter; flags as numbers."""
+    r = pipeline.coverage_report(A.meter(spark, d), A.weather(spark))
+    return r.withColumn("short", F.col("short").cast("int"))
+
+
+def restricted_results(spark, d):
+    """Detected heat pumps among the first customers of the results."""
+    r = A.results(spark, d)
+    return rounded(ch.detected_only(ch.restricted(r, ts_.first_keys(r.select("customer_id"), 200)), "hp").select("customer_id", "hp_type", "hp_energy_kwh"))
+
+
+def longest_rise(rows):
+    """A user's function of one customer's rows: how often in a row consumption rose at most."""
+    rows = rows.sort_values("ts")
+    up = (rows["conso_kwh"].diff() > 1e-9).astype(int)
+    best = int(up.groupby((up == 0).cumsum()).sum().max()) if len(up) else 0
+    return pd.DataFrame({"customer_id": rows["customer_id"].iloc[:1], "longest": [best][: len(rows)]})
+
+
+def user_function(spark, d):
+    """A function of a user over each customer's rows."""
+    ship(spark)
+    return incremental.apply_by_customer(A.meter(spark, d).select("customer_id", "ts", "conso_kwh"), longest_rise, "customer_id string, longest long")
+
+
+QUERIES = {f.__name__: f for f in (clean_series, zscore_by_customer, evening_window, evening_window_by_customer, day_night_share, first_customers, late_merge, dashboard_points, ev_energy_hist, summer_features, coverage_report, restricted_results, user_function)}
 
 _MEAN = "avg(conso_kwh) FILTER ({0})"
 _PART = "round(({0} - {1}) / (abs({0}) + abs({1}) + 1e-8), 6)"
@@ -103,5 +133,9 @@ FROM (SELECT customer_id, prob_battery, sc_share FROM results WHERE CAST(custome
 FULL JOIN (SELECT customer_id, pv_capacity_kwp FROM results WHERE CAST(customer_id AS BIGINT) % 4 = 0) b USING (customer_id)""",
     "dashboard_points": _R + " SELECT customer_id, round(pv_capacity_kwp, 6) AS kwp, round(yearly_prod, 6) AS kwh FROM results WHERE has_pv AND pv_capacity_kwp IS NOT NULL AND yearly_prod IS NOT NULL",
     "ev_energy_hist": _R + ", a AS (SELECT ev_energy_mwh AS v FROM results WHERE ev_energy_mwh > 0) " + _spread("a", 30),
+    "coverage_report": with_sql(M, W) + " SELECT meter_start, meter_end, weather_start, weather_end, CASE WHEN date_diff('day', CAST(meter_start AS DATE), CAST(weather_start AS DATE)) > 30 OR date_diff('day', CAST(weather_end AS DATE), CAST(meter_end AS DATE)) > 30 THEN 1 ELSE 0 END AS short FROM (SELECT min(ts) AS meter_start, max(ts) AS meter_end FROM meter), (SELECT min(ts) AS weather_start, max(ts) AS weather_end FROM weather)",
+    "restricted_results": _R + " SELECT customer_id, hp_type, round(hp_energy_kwh, 6) AS hp_energy_kwh FROM results WHERE has_hp AND customer_id IN (SELECT customer_id FROM results ORDER BY 1 LIMIT 200)",
+    "user_function": with_sql(M) + """, u AS (SELECT customer_id, ts, coalesce(conso_kwh - lag(conso_kwh) OVER (PARTITION BY customer_id ORDER BY ts) > 1e-9, FALSE) AS up FROM meter),
+g AS (SELECT customer_id, up, sum(CASE WHEN up THEN 0 ELSE 1 END) OVER (PARTITION BY customer_id ORDER BY ts) AS run FROM u) SELECT customer_id, CAST(max(n) AS BIGINT) AS longest FROM (SELECT customer_id, run, sum(CASE WHEN up THEN 1 ELSE 0 END) AS n FROM g GROUP BY ALL) GROUP BY 1""",
     "summer_features": _L.replace("FROM aligned)", "FROM aligned WHERE month(ts) IN (6, 7, 8))") + _AC_FEATURES.replace("n_day_rows < 100", "n_day_rows < 50").replace(">= 100 AS used", ">= 50 AS used") + " SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)",
 }
