@@ -150,3 +150,10 @@ def first_keys(df: DataFrame, n: int, by: str = "customer_id") -> DataFrame:
     """The rows of the n smallest keys."""
     few = df.select(by).where(F.col(by).isNotNull()).distinct().orderBy(by).limit(n)
     return df.join(few, by, "left_semi")
+
+
+def set_parts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The distinct rows of both tables (of the same columns) with part: both, left or right."""
+    parts = {"both": left.intersect(right), "left": left.subtract(right), "right": right.subtract(left)}
+    named = [rows.withColumn("part", F.lit(part)) for part, rows in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])

@@ -15,7 +15,7 @@ from ..streaming import incremental
 from . import pipeline
 from .chart_queries import _R, _spread
 from .load_queries import _AC_FEATURES, _L
-from .series_queries import AL, EV, M, W, _STEP, aligned, rounded, with_sql
+from .series_queries import AL, DAY_SQL, EV, M, W, _STEP, aligned, rounded, with_sql
 from .shipping import ship
 
 
@@ -89,6 +89,14 @@ def restricted_results(spark, d):
     return rounded(ch.detected_only(ch.restricted(r, ts_.first_keys(r.select("customer_id"), 200)), "hp").select("customer_id", "hp_type", "hp_energy_kwh"))
 
 
+def day_sets(spark, d):
+    """Days on which customer 4 produced against bright days of the years of the meter."""
+    m = A.meter(spark, d)
+    sun = m.where("customer_id = '4' and prod_kwh > 0").select(F.to_date("ts").alias("date"))
+    bright = wx.weather_day(A.weather(spark)).where("rad_bucket = 'high' and year(date) between 1996 and 1997").select("date")
+    return ts_.set_parts(sun, bright)
+
+
 def longest_rise(rows):
     """A user's function of one customer's rows: how often in a row consumption rose at most."""
     rows = rows.sort_values("ts")
@@ -103,7 +111,7 @@ def user_function(spark, d):
     return incremental.apply_by_customer(A.meter(spark, d).select("customer_id", "ts", "conso_kwh"), longest_rise, "customer_id string, longest long")
 
 
-QUERIES = {f.__name__: f for f in (clean_series, zscore_by_customer, evening_window, evening_window_by_customer, day_night_share, first_customers, late_merge, dashboard_points, ev_energy_hist, summer_features, coverage_report, restricted_results, user_function)}
+QUERIES = {f.__name__: f for f in (clean_series, zscore_by_customer, evening_window, evening_window_by_customer, day_night_share, first_customers, late_merge, dashboard_points, ev_energy_hist, summer_features, coverage_report, restricted_results, day_sets, user_function)}
 
 _MEAN = "avg(conso_kwh) FILTER ({0})"
 _PART = "round(({0} - {1}) / (abs({0}) + abs({1}) + 1e-8), 6)"
@@ -135,6 +143,8 @@ FULL JOIN (SELECT customer_id, pv_capacity_kwp FROM results WHERE CAST(customer_
     "ev_energy_hist": _R + ", a AS (SELECT ev_energy_mwh AS v FROM results WHERE ev_energy_mwh > 0) " + _spread("a", 30),
     "coverage_report": with_sql(M, W) + " SELECT meter_start, meter_end, weather_start, weather_end, CASE WHEN date_diff('day', CAST(meter_start AS DATE), CAST(weather_start AS DATE)) > 30 OR date_diff('day', CAST(weather_end AS DATE), CAST(meter_end AS DATE)) > 30 THEN 1 ELSE 0 END AS short FROM (SELECT min(ts) AS meter_start, max(ts) AS meter_end FROM meter), (SELECT min(ts) AS weather_start, max(ts) AS weather_end FROM weather)",
     "restricted_results": _R + " SELECT customer_id, hp_type, round(hp_energy_kwh, 6) AS hp_energy_kwh FROM results WHERE has_hp AND customer_id IN (SELECT customer_id FROM results ORDER BY 1 LIMIT 200)",
+    "day_sets": with_sql(M, W, DAY_SQL) + """, s AS (SELECT CAST(ts AS DATE) AS date FROM meter WHERE customer_id = '4' AND prod_kwh > 0), b AS (SELECT date FROM wday WHERE rad_bucket = 'high' AND year(date) BETWEEN 1996 AND 1997)
+SELECT date, 'both' AS part FROM (SELECT * FROM s INTERSECT SELECT * FROM b) UNION ALL SELECT date, 'left' FROM (SELECT * FROM s EXCEPT SELECT * FROM b) UNION ALL SELECT date, 'right' FROM (SELECT * FROM b EXCEPT SELECT * FROM s)""",
     "user_function": with_sql(M) + """, u AS (SELECT customer_id, ts, coalesce(conso_kwh - lag(conso_kwh) OVER (PARTITION BY customer_id ORDER BY ts) > 1e-9, FALSE) AS up FROM meter),
 g AS (SELECT customer_id, up, sum(CASE WHEN up THEN 0 ELSE 1 END) OVER (PARTITION BY customer_id ORDER BY ts) AS run FROM u) SELECT customer_id, CAST(max(n) AS BIGINT) AS longest FROM (SELECT customer_id, run, sum(CASE WHEN up THEN 1 ELSE 0 END) AS n FROM g GROUP BY ALL) GROUP BY 1""",
     "summer_features": _L.replace("FROM aligned)", "FROM aligned WHERE month(ts) IN (6, 7, 8))") + _AC_FEATURES.replace("n_day_rows < 100", "n_day_rows < 50").replace(">= 100 AS used", ">= 50 AS used") + " SELECT * FROM m LEFT JOIN d USING (customer_id) LEFT JOIN h USING (customer_id)",
