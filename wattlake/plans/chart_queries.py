@@ -98,6 +98,6 @@ SQL = {
         + " UNION ALL SELECT 'yield_' || f, CAST(count(*) AS DOUBLE) FROM g GROUP BY f UNION ALL SELECT 'capacity_' || flag, CAST(count(*) AS DOUBLE) FROM fl GROUP BY flag",
     "capacity_validation": with_sql(M, W, AL, A.RESULTS_SQL) + " SELECT customer_id, ts, round(conso_kwh, 9) AS conso_kwh, round(prod_kwh, 9) AS prod_kwh, round(t_2m_c, 9) AS t_2m_c, round(global_rad_w, 9) AS global_rad_w, round(CASE WHEN global_rad_w < 0 THEN 0 ELSE global_rad_w END / 1000 * pv_capacity_kwp * 0.15::DOUBLE * 0.25::DOUBLE, 9) AS modelled_kwh FROM aligned JOIN results USING (customer_id) WHERE has_pv AND pv_capacity_kwp IS NOT NULL",
     "customer_heatmap": with_sql(M) + " SELECT customer_id, CAST(ts AS DATE) AS date, " + ", ".join(f"round(avg(conso_kwh) FILTER (hour(ts) * 4 + minute(ts) // 15 = {k}), 9) AS q{k}" for k in range(96)) + " FROM meter GROUP BY ALL",
-    "customer_radiation_profile": with_sql(M, W, AL) + ", dr AS (SELECT customer_id, CAST(ts AS DATE) AS date, avg(global_rad_w) AS rad FROM aligned GROUP BY ALL HAVING rad IS NOT NULL), bd AS (SELECT customer_id, quantile_cont(rad, 0.25) AS lo, quantile_cont(rad, 0.75) AS hi FROM dr GROUP BY 1), kd AS (SELECT customer_id, date, 'high' AS days FROM dr JOIN bd USING (customer_id) WHERE rad >= hi UNION ALL SELECT customer_id, date, 'low' FROM dr JOIN bd USING (customer_id) WHERE rad <= lo) SELECT a.customer_id, days, CAST(hour(ts) AS INTEGER) AS hour, round(avg(conso_kwh), 9) AS mean_kwh FROM aligned a JOIN kd ON kd.customer_id = a.customer_id AND kd.date = CAST(a.ts AS DATE) GROUP BY ALL",
+    "customer_radiation_profile": with_sql(M, W, AL) + ", dr AS (SELECT customer_id, CAST(ts AS DATE) AS date, round(avg(global_rad_w), 9) AS rad FROM aligned GROUP BY ALL HAVING rad IS NOT NULL), bd AS (SELECT customer_id, round(quantile_cont(rad, 0.25), 9) AS lo, round(quantile_cont(rad, 0.75), 9) AS hi FROM dr GROUP BY 1), kd AS (SELECT customer_id, date, 'high' AS days FROM dr JOIN bd USING (customer_id) WHERE rad >= hi UNION ALL SELECT customer_id, date, 'low' FROM dr JOIN bd USING (customer_id) WHERE rad <= lo) SELECT a.customer_id, days, CAST(hour(ts) AS INTEGER) AS hour, round(avg(conso_kwh), 9) AS mean_kwh FROM aligned a JOIN kd ON kd.customer_id = a.customer_id AND kd.date = CAST(a.ts AS DATE) GROUP BY ALL",
     "ac_kw_statistics": with_sql(M, W, AL, A.TRAINING_SQL) + ", pc AS (SELECT customer_id, avg(value_kw_mean) AS kw FROM training WHERE type = 'AC' GROUP BY 1)" + _metrics("pc", customers="count(*)", mean_kw="avg(kw)", median_kw="quantile_cont(kw, 0.5)", mean_annual_kwh="avg(kw * 8760)"),
 }
