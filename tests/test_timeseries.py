@@ -1,4 +1,5 @@
 import datetime as dt
+from itertools import permutations
 
 from pyspark.sql import functions as F
 
@@ -72,3 +73,12 @@ def test_bootstrap_draws_are_whole_months_and_repeatable(spark):
 
 def test_slot_of_day(spark):
     assert frame(spark, [(t(47),)], "ts timestamp_ntz").select(slot_of_day("ts").alias("s")).first().s == 3
+
+
+def test_runs_at_the_limit_of_spread_do_not_depend_on_the_order_of_sums(spark):
+    """Readings whose deviation is exactly 0.6 of their mean, in all orders and two units."""
+    kinds = [p for q in ((2, 5, 8), (3, 7, 15, 15), (5, 5, 13, 17)) for p in sorted(set(permutations(q)))]
+    rows = [(f"{i}-{unit}", t(15 * k), x * unit) for i, p in enumerate(kinds) for unit in (0.016, 0.08) for k, x in enumerate(p)]
+    df = frame(spark, rows, "customer_id string, ts timestamp_ntz, kw double")
+    assert timeseries.runs(df, F.col("kw") > 0, "kw", 3, 0.6, digits=9).count() == 2 * len(kinds)
+    assert timeseries.runs(df, F.col("kw") > 0, "kw", 3, 0.599999, digits=9).count() == 0
