@@ -82,3 +82,12 @@ def test_runs_at_the_limit_of_spread_do_not_depend_on_the_order_of_sums(spark):
     df = frame(spark, rows, "customer_id string, ts timestamp_ntz, kw double")
     assert timeseries.runs(df, F.col("kw") > 0, "kw", 3, 0.6, digits=9).count() == 2 * len(kinds)
     assert timeseries.runs(df, F.col("kw") > 0, "kw", 3, 0.599999, digits=9).count() == 0
+
+
+def test_own_use_of_equal_days_is_none_whatever_the_order_of_sums(spark):
+    """Sunny and dull middays of equal means have no share of own use where nothing is produced; noise gave a share of 1."""
+    x = (0.1, 0.2, 0.3, 0.7)
+    days = [(f"{i}", b, c, 0.0) for i, p in enumerate(permutations(x)) for b, values in (("low", x), ("high", p)) for c in values]
+    df = frame(spark, days, "customer_id string, rad_bucket string, conso_midday double, prod_midday double").coalesce(1)
+    got = pv.share_parts(df, ["customer_id"], F.lit(1.0), digits=9)
+    assert got.count() == 24 and got.where("sc_share is not null").count() == 0
