@@ -9,10 +9,12 @@ from ..operators import training as tr
 from ..sources import adapters as A
 from .load_queries import _AC_FEATURES, _AC_LABEL, _HP_FEATURES, _HP_LABEL, _T, SPARSE, _quality, train
 from .series_queries import rounded
+from .shipping import materialised
 
 
-def modelled(spark, d, kind):
-    return tr.modelled(train(spark, d), kind, SPARSE[kind], SPARSE["TOT"])
+def modelled(spark, d, kind, rows=None):
+    """rows: the training rows, written, where they are at hand."""
+    return tr.modelled(materialised(train(spark, d)) if rows is None else rows, kind, SPARSE[kind], SPARSE["TOT"])
 
 
 def numbers(df):
@@ -30,7 +32,8 @@ def hp_modelled(spark, d):
 
 def skip_reasons(spark, d):
     """How many customers each rule of both tables leaves out."""
-    found = [tr.reasons(modelled(spark, d, kind)).withColumn("kind", F.lit(kind)) for kind in ("AC", "HP")]
+    rows = materialised(train(spark, d))
+    found = [tr.reasons(modelled(spark, d, kind, rows)).withColumn("kind", F.lit(kind)) for kind in ("AC", "HP")]
     return found[0].unionByName(found[1])
 
 
