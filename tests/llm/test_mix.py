@@ -45,3 +45,20 @@ def test_the_mix_has_every_copy_at_its_position(spark, sf, duck):
     for name, query in mixing.QUERIES.items():
         rows = lambda found: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in found), key=str)
         assert rows(map(tuple, query(spark, sf).collect())) == rows(duck.execute(mixing.SQL[name]).fetchall())
+
+
+def test_texts_are_shuffled_once_before_they_are_dealt(spark):
+    """The sums inside buckets and the join with the buckets' offsets share one exchange of the texts."""
+    docs = spark.range(50).selectExpr("id as doc_id", "if(id % 7 = 0, null, concat('s', id % 3)) as source", "repeat('w ', cast(id % 9 as int)) as text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = mixing.placed(docs)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        # the texts, sums by bucket, and two sides of the joins with targets and with offsets
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+        assert not [x for x in shuffles if "coalesce(source" in x and "__b" in x]
+        assert sum("hashpartitioning(__k1" in x for x in shuffles) == 2
+        assert {r.source for r in rows.collect()} == {None, "s0", "s1", "s2"} and rows.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

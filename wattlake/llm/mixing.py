@@ -52,20 +52,24 @@ def placed(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("__md5", F.md5(F.col("doc_id").cast("string").cast("binary")))
     # buckets in the order of the MD5 itself, so that the two-level sum keeps that order
     rows = rows.withColumn("__b", F.coalesce((F.conv(F.substring("__md5", 1, 4), 16, 10).cast("int") * BUCKETS / 65536).cast("int"), F.lit(-1)))
+    # the window and the join below deal by the same three columns, so that texts are shuffled once for both
+    rows = rows.withColumns({"__k1": F.coalesce("source", F.lit("")), "__k2": F.col("source").isNull()})
     totals = rows.groupBy("source", "__b").agg(F.sum("__size").alias("__sum"))
     ahead = Window.partitionBy("source").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__sum").over(ahead), F.lit(0))).select(F.col("source").alias("__s"), F.col("__b").alias("__k"), "__off")
+    offsets = totals.withColumn("__off", F.coalesce(F.sum("__sum").over(ahead), F.lit(0))).select(F.col("source").alias("__s"), "__b", "__off")
     targets = source_targets(totals.select("source", F.col("__sum").alias("size")))
     targets = targets.select(F.col("source").alias("__t"), *[F.col(c).alias(f"__{c}") for c in ("source_size", "target", "ramp")])
     offsets = offsets.join(targets, F.col("__s").eqNullSafe(F.col("__t"))).drop("__t")
-    inner = Window.partitionBy("source", "__b").orderBy("__md5", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = offsets.withColumns({"__k1": F.coalesce("__s", F.lit("")), "__k2": F.col("__s").isNull()}).drop("__s")
+    keys = ["__k1", "__k2", "__b"]
+    inner = Window.partitionBy(*keys).orderBy("__md5", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__start", F.coalesce(F.sum("__size").over(inner), F.lit(0)))
-    out = rows.join(offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__k")))
+    out = rows.join(offsets, keys)
     out = out.withColumn("__start", F.col("__start") + F.col("__off"))
     rounds = F.when(F.col("__source_size") > 0, F.floor(F.col("__target") / F.col("__source_size"))).otherwise(0)
     rest = F.col("__target") - rounds * F.col("__source_size")
     some = F.when((F.col("__size") > 0) & (F.col("__start") + F.col("__size") / 2 < rest), 1).otherwise(0)
-    return out.withColumn("__copies", F.when(F.col("__size") > 0, rounds + some).otherwise(0).cast("int")).drop("__md5", "__b", "__s", "__k", "__off")
+    return out.withColumn("__copies", F.when(F.col("__size") > 0, rounds + some).otherwise(0).cast("int")).drop("__md5", *keys, "__off")
 
 
 def dealt(rows: DataFrame, had: list[str]) -> DataFrame:
