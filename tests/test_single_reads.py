@@ -31,3 +31,14 @@ def test_the_manifest_groups_by_customer_alone(spark, sf):
     """Flags of a customer need no table of all its times."""
     groups = [x for x in plan(load_queries.appliance_manifest(spark, sf)).splitlines() if "Aggregate [customer_id" in x]
     assert not [x for x in groups if "first(" in x or "pivot" in x]
+
+
+def test_carrying_the_last_row_reads_its_left_side_once(spark):
+    at = lambda minutes: TIME + dt.timedelta(minutes=minutes)
+    minutes = [-1, 0, 20, 31, 59, 60, 170, 185, 190, 100_000, None]
+    left = spark.createDataFrame([(i, None if m is None else at(m)) for i, m in enumerate(minutes)], "n int, ts timestamp_ntz")
+    right = spark.createDataFrame([(at(0), 1.0), (at(30), 2.0), (at(185), None), (at(190), 4.0)], "ts timestamp_ntz, v double")
+    out = timeseries.asof_join(left, right, None)
+    assert sum("LogicalRDD [n#" in x for x in plan(out).splitlines()) == 1
+    assert [r.v for r in out.orderBy("n").collect()] == [None, 1.0, 1.0, 2.0, 2.0, 2.0, 2.0, None, 4.0, 4.0, None]
+    assert [r.v for r in timeseries.asof_join(left, right.limit(0), None).collect()] == [None] * len(minutes)
