@@ -8,7 +8,8 @@ sets stand for one class. (3) Each class is compared with the one partner that l
 which links whole groups of near copies in linear work. (4) Rows of keys that still hold several
 components form tiles, sorted by size; in a tile, sizes and then bit counts of hashed bitmaps
 bound the overlap from above, and only pairs that pass are compared by exact intersection of their
-sorted arrays. Nothing is capped: large keys are cut into square tiles.
+sorted arrays. Nothing is capped: large keys are cut into square tiles. A pair is returned by the first key
+that both share, not by each.
 
 Null, empty and white-space texts: no shingle, linked with nothing. Texts of one to four words: the
 whole sequence is one shingle. Rows are told apart by id and text, so that null and repeated ids are no
@@ -38,7 +39,9 @@ TILE = 2048
 #: Ids of several texts that go to the tasks.
 ODD_IDS = 1 << 16
 #: Pairs that a task holds to return each once.
-HELD_PAIRS = 1 << 20
+HELD_PAIRS = 1 << 18
+#: Keys before one that a row carries in a tile, so that its pairs come up once.
+EARLIER = 8
 
 
 def shingles(h: np.ndarray, at: np.ndarray, n: int = N_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -75,11 +78,11 @@ def hashed_counts(docs: DataFrame, n: int) -> np.ndarray:
     """log2 of how often each slot's shingles occur in all documents: 2**COUNT_BITS bytes."""
 
     def update(total, batch):
-        for p in pieces(batch, "text"):
+        for p in pieces(batch, "text", 1 << 20):
             s, _ = shingles(*words(p.column("text")), n)
-            total += np.bincount((s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32)
+            np.add.at(total, (s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), np.uint32(1))
 
-    return np.log2(np.maximum(summed_table(docs.select("text"), 1 << COUNT_BITS, update), 1)).astype(np.uint8)
+    return np.log2(np.maximum(summed_table(docs.select("text"), 1 << COUNT_BITS, update, np.uint32), 1)).astype(np.uint8)
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -89,7 +92,7 @@ def signatures(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Dat
     def sign(batches):
         level = shared.value
         for batch in batches:
-            for p in pieces(batch, "text"):
+            for p in pieces(batch, "text", 1 << 20):
                 rows = p.num_rows
                 size, bitmap = np.zeros(rows, np.int64), np.zeros((rows, BITMAP_WORDS), np.uint64)
                 digest, prefix = np.zeros((rows, 2), np.uint64), [None] * rows
@@ -144,7 +147,7 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
 
     def sets(batches):
         for batch in batches:
-            for p in pieces(batch, "text"):
+            for p in pieces(batch, "text", 1 << 20):
                 found = [s for _, s in document_sets(p.column("text"), n)]
                 lengths = np.concatenate([[0], np.cumsum([len(x) for x in found])])
                 arrays = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64()))
@@ -176,25 +179,37 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
 
 
 def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs of keys_pairs, each once."""
+    return keys_pairs(rows, facts, percent).distinct()
+
+
+def keys_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components within each key that sizes and bitmaps allow.
-    rows: key, rep, comp; facts: rep, n, b0.. . Keys of more than TILE rows are cut into square tiles."""
-    bits = [f"b{j}" for j in range(BITMAP_WORDS)]
+    rows: key, rep, comp; facts: rep, n, b0.. . Keys of more than TILE rows are cut into square tiles. A pair that shares
+    one of the EARLIER keys before this one, in the order of both rows' keys, is left to that key: the first key that two
+    rows share always returns them, so none is lost, and copies that share many keys come up about once."""
+    bits, earlier = [f"b{j}" for j in range(BITMAP_WORDS)], [f"e{j}" for j in range(EARLIER)]
     groups = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    rows = rows.join(groups.where("lo <> hi").select("key", "blocks"), "key").join(facts, "rep")
+    own = rows.join(groups.where("lo <> hi").select("key", "blocks"), "key").groupBy("rep").agg(F.min("comp").alias("comp"), F.array_sort(F.collect_set(F.struct("key", "blocks"))).alias("ks"))
+    rows = own.join(facts, "rep").select("rep", "comp", "n", *bits, "ks", F.posexplode("ks").alias("at", "k")).select("rep", "comp", "n", *bits, "at", "k.*", *[F.coalesce(F.get("ks", F.col("at") - j - 1)["key"], F.lit(0)).alias(e) for j, e in enumerate(earlier)])
     rows = rows.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tile = rows.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("tile"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), (F.col("i") == F.col("j")).alias("same"), "rep", "comp", "n", *bits)
+    tile = rows.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("tile"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), (F.col("i") == F.col("j")).alias("same"), "rep", "comp", "n", "at", *earlier, *bits)
     parts = tile.repartition("tile").sortWithinPartitions("tile", "n")
 
-    def pairs_of(side, same, rep, comp, n, bm):
+    def pairs_of(side, same, rep, comp, n, at, ea, bm):
         left = np.flatnonzero(side == 0)
         right = left if same[0] else np.flatnonzero(side == 1)
+        # of an earlier key there may be fewer than EARLIER
+        there = np.arange(EARLIER) < at[:, None]
         for k, x in enumerate(left):
             y = right[k + 1 :] if same[0] else right
             y = y[(100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (comp[x] != comp[y]) & (rep[x] != rep[y])]
             if len(y):
                 apart = np.bitwise_count(bm[y] ^ bm[x]).sum(axis=1, dtype=np.int64)
                 y = y[100 * (n[x] + n[y] - apart) >= percent * (n[x] + n[y] + apart)]
+                met = (ea[y][:, :, None] == ea[x][there[x]]) & there[y][:, :, None]
+                y = y[~met.any(axis=(1, 2))]
                 if len(y):
                     yield np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])
 
@@ -224,13 +239,16 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
             if not done:
                 rest = t.slice(cut[-2]).to_batches()[0]
                 cut = cut[:-1]
-            c = {k: t.column(k).to_numpy(zero_copy_only=False) for k in ("side", "same", "rep", "comp", "n", *bits)}
+            c = {k: t.column(k).to_numpy(zero_copy_only=False) for k in ("side", "same", "rep", "comp", "n", "at", *earlier, *bits)}
+            ea = np.stack([c[k] for k in earlier], axis=1)
             bm = np.stack([c[k].view(np.uint64) for k in bits], axis=1)
             for lo, hi in zip(cut[:-1], cut[1:]):
                 if hi - lo > 1:
-                    more = list(pairs_of(*(c[k][lo:hi] for k in ("side", "same", "rep", "comp", "n")), bm[lo:hi]))
-                    found += more
-                    size += sum(len(x) for x, _ in more)
+                    more = list(pairs_of(*(c[k][lo:hi] for k in ("side", "same", "rep", "comp", "n", "at")), ea[lo:hi], bm[lo:hi]))
+                    if more:
+                        # one array a tile, as small ones take more memory than their pairs
+                        found.append(tuple(np.concatenate(x) for x in zip(*more)))
+                        size += len(found[-1][0])
                     if size > HELD_PAIRS:
                         a, b = once(found)
                         found, size = [(a, b)], len(a)
@@ -241,7 +259,7 @@ def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
             a, b = once(found)
             yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    return parts.mapInArrow(run, "a long, b long").distinct()
+    return parts.mapInArrow(run, "a long, b long")
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
