@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ._common import components, read, written
 from ._filters import thinned
+from ._runs import lean
 from ._tables import summed_table
 from ._text import mix, pieces, words
 
@@ -112,7 +113,7 @@ def signatures(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Dat
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "d0", "d1", *(f"b{j}" for j in range(BITMAP_WORDS)), "prefix"])
 
     bitmaps = ", ".join(f"b{j} long" for j in range(BITMAP_WORDS))
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id long, n long, d0 long, d1 long, {bitmaps}, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lean(sign), f"doc_id long, n long, d0 long, d1 long, {bitmaps}, prefix array<long>")
 
 
 def may_link(a: str, b: str, percent: int):
@@ -171,11 +172,11 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
 
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     texts = thinned(docs, ids).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    arrays = written(texts.mapInArrow(sets, "doc_id long, n long, w binary, s array<long>"))
+    arrays = written(texts.mapInArrow(lean(sets), "doc_id long, n long, w binary, s array<long>"))
     side = lambda k, *cols: arrays.select(F.col("doc_id").alias(k), *[F.col(c).alias(c + k) for c in cols])
-    close = written(pairs.join(side("a", "n", "w"), "a").join(side("b", "n", "w"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(near, "a long, b long"))
+    close = written(pairs.join(side("a", "n", "w"), "a").join(side("b", "n", "w"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(lean(near), "a long, b long"))
     both = close.join(side("a", "s"), "a").join(side("b", "s"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(same, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(lean(same), "a long, b long")
 
 
 def tile_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
@@ -259,7 +260,7 @@ def keys_pairs(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
             a, b = once(found)
             yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    return parts.mapInArrow(run, "a long, b long")
+    return parts.mapInArrow(lean(run), "a long, b long")
 
 
 def with_rows(docs: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import drop_written, read, written
+from ._runs import lean
 from ._tables import summed_table
 from ._text import LOWER, mix, pieces, powers, utf8
 
@@ -292,7 +293,7 @@ def feature_counts(docs: DataFrame, cost, bits=None) -> DataFrame:
         h, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_pydict({"h": h.view(np.int64), "n": n.astype(np.int64)})
 
-    return docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(lean(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def telling_features(labelled: DataFrame, cost, n_clean: int, n_bad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -412,7 +413,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
                 yield pa.RecordBatch.from_pydict({"y": p.column("toxic"), **{f"x{j}": x[:, j] for j in range(3)}})
 
     sample = smallest_hashes(labelled, n_clean + n_bad, FIT_ROWS)
-    got = sample.select("text", "toxic").mapInArrow(measure, "y long, x0 double, x1 double, x2 double").toPandas()
+    got = sample.select("text", "toxic").mapInArrow(lean(measure), "y long, x0 double, x1 double, x2 double").toPandas()
     drop_written(labelled)
     beta = fit_logistic(got[["x0", "x1", "x2"]].to_numpy(), got["y"].to_numpy(np.float64))
     return cost, telling_known, weights, spark.sparkContext.broadcast(beta)
@@ -434,7 +435,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*p.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*names, "__score"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["__score double"])
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(lean(score), schema)
 
 
 def op10_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
