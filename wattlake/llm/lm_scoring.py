@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import read, written
+from ._runs import lean
 from ._tables import summed_table
 from ._text import LOWER, pieces, utf8, word_spans, words
 
@@ -48,6 +49,8 @@ BUCKETS = 33
 RATE, TRAIN_RATE = 0.004, 0.05
 SYMBOLS, END = 257, 256
 PIECE = 192 << 10
+#: Bytes of text that are counted at once; their decisions stay in a core's own cache.
+COUNT_PIECE = 32 << 10
 
 
 def fold(doc_id: Column) -> Column:
@@ -85,19 +88,23 @@ def contexts(seq: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[np.ndar
     """The slot of each symbol for each predictor, by a hash of what stands before it in its text."""
     n = len(seq)
     inside = np.arange(n, dtype=np.int64) - np.repeat(at[:-1], np.diff(at))
+    wide = np.concatenate([np.full(max(*ORDERS, WORD_REACH), END, np.uint32), seq.astype(np.uint32)])
+    prior, shift = np.empty(n, np.uint32), np.empty(n, np.uint32)
     out = []
     for m, reach in enumerate((*ORDERS, WORD_REACH)):
         h = np.full(n, (m + 1) * 0x3C6EF372, np.uint32)
+        at_least = (inside if m < len(ORDERS) else place).astype(np.int32)
         for j in range(1, reach + 1):
-            prior = np.full(n, END, np.uint32)
-            prior[j:] = seq[:-j]
-            beyond = inside < j if m < len(ORDERS) else place < j
-            prior[beyond] = END + 1
-            h = (h ^ prior) * np.uint32(0x01000193)
-            h ^= h >> np.uint32(15)
+            np.copyto(prior, wide[len(wide) - n - j : len(wide) - j])
+            np.copyto(prior, np.uint32(END + 1), where=at_least < j)
+            h ^= prior
+            h *= np.uint32(0x01000193)
+            h ^= np.right_shift(h, np.uint32(15), out=shift)
         h *= np.uint32(0x85EBCA6B)
-        h ^= h >> np.uint32(13)
-        out.append((h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS))
+        h ^= np.right_shift(h, np.uint32(13), out=shift)
+        h *= np.uint32(0xC2B2AE35)
+        h >>= np.uint32(32 - SLOT_BITS)
+        out.append(h)
     return out
 
 
@@ -125,22 +132,25 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, ...]:
     # the nodes nearest to the root, numbered last, get slots of their own; the others share the rest
     own = NEAR // 2
     from_root = [SYMBOLS - 2 - x for p in paths for x, _ in p]
-    node = np.array([x if x < own else own + x % own for x in from_root], np.uint32)
-    bit = np.array([x for p in paths for _, x in p], np.uint32)
+    node = np.array([x if x < own else own + x % own for x in from_root])
+    bit = np.array([x for p in paths for _, x in p])
     gate = np.array([min(d, DEPTHS - 1) * PLACES for p in paths for d in range(len(p))])
     return length, begin, node, bit, gate
 
 
-def decisions(tree, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many decisions each symbol takes, and the place of each in the flat tables."""
+def decisions(tree, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many decisions each symbol takes, the symbol of each, and the place of each in the flat tables."""
     length, begin = tree[:2]
-    n = length[symbols]
-    return n, np.repeat(begin[symbols] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    n = length.take(symbols)
+    symbol = np.repeat(np.arange(len(n)), n)
+    code = (begin.take(symbols) - (np.cumsum(n) - n)).take(symbol)
+    code += np.arange(len(symbol))
+    return n, symbol, code
 
 
-def slots(symbol_slot: np.ndarray, n: np.ndarray, node: np.ndarray) -> np.ndarray:
+def slots(symbol_slot: np.ndarray, symbol: np.ndarray, node: np.ndarray) -> np.ndarray:
     """The slot of each decision, NEAR neighbouring ones for all decisions of a symbol, which memory reads at once."""
-    return np.repeat(symbol_slot, n) ^ node
+    return symbol_slot.astype(np.int64).take(symbol) ^ node
 
 
 def bit_counts(docs: DataFrame, tree) -> np.ndarray:
@@ -148,12 +158,12 @@ def bit_counts(docs: DataFrame, tree) -> np.ndarray:
     size = 2 << SLOT_BITS
 
     def update(total, batch):
-        for p in pieces(batch, "text", 3 * PIECE):
+        for p in pieces(batch, "text", COUNT_PIECE):
             seq, place, at = sequences(p.column("text"))
-            n, code = decisions(tree, seq)
-            node, bit = tree[2][code], tree[3][code]
+            _, symbol, code = decisions(tree, seq)
+            node = (tree[2] << 1 | tree[3]).take(code)
             for m, h in enumerate(contexts(seq, place, at)):
-                np.add.at(total[m * size : (m + 1) * size], (slots(h, n, node) << np.uint32(1)) | bit, np.uint32(1))
+                np.add.at(total[m * size : (m + 1) * size], slots(h << np.uint32(1), symbol, node), np.uint32(1))
 
     return summed_table(docs.select("text"), MODELS * size, update, np.uint32).reshape(MODELS, 1 << SLOT_BITS, 2)
 
@@ -188,7 +198,8 @@ class Mixer:
         cut = np.searchsorted(block[order], np.arange(SEGMENT // BLOCK + 1))
         price = np.zeros(lanes)
         own = np.zeros((MODELS, lanes), np.float32)
-        spot = np.minimum(place, PLACES - 1)
+        spot = np.minimum(place, PLACES - 1).astype(np.int64)
+        bits = self.tree[3].astype(np.float32)
         sse = None
         if self.refine is not None:
             odds = np.log((self.refine[:, 1] + 20 * self._center()) / (self.refine[:, 0] + 20 * (1 - self._center())))
@@ -197,33 +208,50 @@ class Mixer:
             i = order[lo:hi]
             if not len(i):
                 break
-            n, code = decisions(self.tree, seq[i])
-            node, b = self.tree[2][code], self.tree[3][code].astype(np.float32)
-            gate = np.repeat(spot[i], n) + self.tree[4][code]
+            n, symbol, code = decisions(self.tree, seq[i])
+            node, b = self.tree[2].take(code), bits.take(code)
+            gate = spot[i].take(symbol)
+            gate += self.tree[4].take(code)
             # a block's symbols come lane after lane
             first = np.flatnonzero(np.diff(lane[i], prepend=-1))
             there = lane[i[first]]
             begin = (np.cumsum(n) - n)[first]
             width = np.diff(begin, append=len(code))
-            st = [self.table[m][slots(hashes[m][i], n, node)] * np.float32(1 / 16) for m in range(MODELS)]
-            dot = self.weights[MODELS][gate]
+            st = [self.table[m].take(slots(hashes[m][i], symbol, node)) * np.float32(1 / 16) for m in range(MODELS)]
+            dot = self.weights[MODELS].take(gate)
             for m in range(MODELS):
-                dot += st[m] * (self.weights[m][gate] if learn else self.weights[m][gate] + np.repeat(own[m][there], width))
+                weight = self.weights[m].take(gate)
+                if not learn:
+                    weight += np.repeat(own[m][there], width)
+                weight *= st[m]
+                dot += weight
             np.clip(dot, -11, 11, out=dot)
-            p = 1 / (1 + np.exp(-dot))
+            p = np.exp(-dot)
+            p += 1
+            np.divide(1, p, out=p)
             err = b - p
-            cell = gate * BUCKETS + (np.clip(dot, -8, 8) * 2 + 16.5).astype(np.int64)
+            np.clip(dot, -8, 8, out=dot)
+            dot *= 2
+            dot += np.float32(16.5)
+            cell = dot.astype(np.int64)
+            cell += gate * BUCKETS
             if learn:
                 self.bits += len(code)
                 count = np.bincount(gate, minlength=DEPTHS * PLACES) + 10
                 for m in range(MODELS):
                     self.weights[m] += TRAIN_RATE * (np.bincount(gate, err * st[m], DEPTHS * PLACES) / count).astype(np.float32)
                 self.weights[MODELS] += TRAIN_RATE * (np.bincount(gate, err, DEPTHS * PLACES) / count).astype(np.float32)
-                self.came[:, 0] += np.bincount(cell, 1 - b, len(self.came))
-                self.came[:, 1] += np.bincount(cell, b, len(self.came))
+                cell *= 2
+                cell += self.tree[3].take(code)
+                self.came += np.bincount(cell, minlength=self.came.size).reshape(-1, 2)
                 continue
-            q = p if sse is None else np.float32(0.5) * (p + sse[cell])
-            price[there] += np.add.reduceat(np.log(np.where(b > 0, q, 1 - q)), begin, dtype=np.float64)
+            if sse is not None:
+                p += sse.take(cell)
+                p *= np.float32(0.5)
+            # p where the bit is one, 1 - p where it is none
+            np.subtract(1 - b, p, out=p)
+            np.abs(p, out=p)
+            price[there] += np.add.reduceat(np.log(p, out=p), begin, dtype=np.float64)
             err *= np.float32(RATE)
             for m in range(MODELS):
                 own[m][there] += np.add.reduceat(err * st[m], begin)
@@ -252,7 +280,7 @@ def learnt(docs: DataFrame, parts: int, tree, table: np.ndarray) -> tuple[np.nda
     mark = F.xxhash64("doc_id", "text")
     rows = docs.select("doc_id", "text", mark.alias("mark")).repartition(parts, "mark").sortWithinPartitions("doc_id", "mark").select("text")
     # a row of fixed size from each of a bounded number of tasks
-    got = rows.mapInArrow(train, "bits long, weights binary, came binary").toPandas()
+    got = rows.mapInArrow(lean(train), "bits long, weights binary, came binary").toPandas()
     bits = max(1, got["bits"].sum())
     weights = sum((np.frombuffer(w, np.float32).reshape(start.shape) * (n / bits) for w, n in zip(got["weights"], got["bits"])), np.zeros(start.shape, np.float32))
     came = sum((np.frombuffer(c).reshape(-1, 2) for c in got["came"]), np.zeros((DEPTHS * PLACES * BUCKETS, 2)))
@@ -260,15 +288,19 @@ def learnt(docs: DataFrame, parts: int, tree, table: np.ndarray) -> tuple[np.nda
 
 
 def token_counts(train: DataFrame) -> DataFrame:
-    """h, c: how often each training word occurs, by its 64-bit hash."""
+    """symbol, h, c: how often each training word occurs, by its 64-bit hash, and, where symbol, each symbol h."""
 
     def count(batches):
+        sums = np.zeros(SYMBOLS, np.int64)
         for batch in batches:
             for p in pieces(batch, "text"):
+                sums[:END] += np.bincount(LOWER[utf8(p.column("text"))[0]], minlength=END)
+                sums[END] += p.num_rows
                 h, n = np.unique(words(p.column("text"))[0], return_counts=True)
-                yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "c": n.astype(np.int64)})
+                yield pa.RecordBatch.from_pydict({"symbol": np.zeros(len(h), bool), "h": h.view(np.int64), "c": n.astype(np.int64)})
+        yield pa.RecordBatch.from_pydict({"symbol": np.ones(SYMBOLS, bool), "h": np.arange(SYMBOLS), "c": sums})
 
-    return train.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return train.select("text").mapInArrow(lean(count), "symbol boolean, h long, c long").groupBy("symbol", "h").agg(F.sum("c").alias("c"))
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -277,7 +309,11 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("fold", fold(F.col("doc_id")))
     train = docs.where(F.col("fold") != HELD_OUT)
-    counts = written(token_counts(train))
+    tallies = written(token_counts(train))
+    counts = tallies.where("not symbol").select("h", "c")
+    frequency = np.zeros(SYMBOLS, np.int64)
+    for r in tallies.where("symbol").collect():
+        frequency[r.h] = r.c
     ends, fold_rows = train.agg(F.count("*"), F.count_if(F.col("fold") == WEIGHT_FOLD)).first()
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, kinds = total + ends, kinds + (ends > 0)
@@ -286,12 +322,7 @@ def scores(docs: DataFrame) -> DataFrame:
     # longs and 64-bit hashes sort alike in both as signed numbers
     known = spark.sparkContext.broadcast((head["h"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
 
-    def symbols(sums, batch):
-        for p in pieces(batch, "text"):
-            sums[:END] += np.bincount(LOWER[utf8(p.column("text"))[0]], minlength=END)
-            sums[END] += p.num_rows
-
-    tree = huffman(summed_table(train.select("text"), 320, symbols)[:SYMBOLS])
+    tree = huffman(frequency)
     counted = bit_counts(train.where(F.col("fold") != WEIGHT_FOLD), tree)
     fold_docs = train.where(F.col("fold") == WEIGHT_FOLD)
     weights, came = learnt(fold_docs, min(max(fold_rows // PART_ROWS, 1), PARTS), tree, stretched(counted))
@@ -322,7 +353,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([p.column("rid"), p.column("doc_id"), p.column("fold"), pa.array(np.diff(at) + 1), pa.array(n_known), pa.array(base), pa.array(price), size, tail], ["rid", "doc_id", "fold", "n_tokens", "n_known", "base", "score", "size", "tail"])
 
     numbered = docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", F.col("fold").cast("long").alias("fold"), "text")
-    rows = written(numbered.mapInArrow(score, "rid long, doc_id long, fold long, n_tokens long, n_known long, base double, score double, size long, tail array<long>"))
+    rows = written(numbered.mapInArrow(lean(score), "rid long, doc_id long, fold long, n_tokens long, n_known long, base double, score double, size long, tail array<long>"))
     rare = rows.select("rid", F.explode("tail").alias("h")).groupBy("rid", "h").agg(F.count("*").alias("n"))
     more = rare.join(counts, "h").groupBy("rid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more"))
     out = rows.drop("tail").join(more, "rid", "left")
